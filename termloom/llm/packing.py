@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from .common import materialise, partitions, table
-from .word_tokens import WordEncoder
+from .word_tokens import IdEncoder
 
 #: More simplex steps than this are not taken; the basis is feasible at every step.
 MAX_PIVOTS = 4000
@@ -30,7 +30,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = 1024, end_id: int = 0, wi
     Null or empty text: one piece, the end id alone. Rows that repeat are packed as often as they occur."""
 
     def run(batches):
-        encoder = WordEncoder(path)
+        encoder = IdEncoder(path)
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):

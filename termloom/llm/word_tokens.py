@@ -1,9 +1,9 @@
-"""Cached byte-level BPE with the tokenizers library.
+"""Ids of a byte-level vocabulary file of the tokenizers library.
 
-The vocabulary's pre-tokeniser always starts a new pre-token at a space that is followed by a character
-other than white space. A text can therefore be cut at such spaces and each piece encoded on its own;
-a bounded cache of pieces then saves most of the merging. A text that holds a space before other white
-space, or at its end, is encoded as a whole.
+The file is read with that library. Texts are then encoded by tiktoken from the very same vocabulary, which
+gives the same ids in a quarter of the time (ids of such a vocabulary ascend in the order of its merges,
+so that they serve as ranks). Each batch has one text encoded by both; were they ever to differ, or the
+file not be of that kind, the task goes on with the tokenizers library alone.
 """
 
 from __future__ import annotations
@@ -12,60 +12,53 @@ import os
 import re
 from array import array
 
-UNSAFE = re.compile(r" (?:\s|\Z)")
-TAIL = ".,;:!?"
+#: Runs of white space that a backtracking pattern may give up on.
+LONG_RUN = re.compile(r"\s{5000}")
 
 
-class WordEncoder:
-    """texts -> bytes of little-endian unsigned 32-bit ids. A null text counts as empty."""
+def byte_of() -> dict[str, int]:
+    """The characters by which such a vocabulary shows bytes: printable ones themselves, the others from U+0100 on."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {chr(b): b for b in shown} | {chr(0x100 + k): b for k, b in enumerate(hidden)}
 
-    def __init__(self, path: str, limit: int = 500_000, longest: int = 48):
+
+class IdEncoder:
+    """texts -> bytes of little-endian unsigned 32-bit ids. A null text counts as empty; strings of special
+    tokens in a text are ordinary text."""
+
+    def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.limit, self.longest = limit, longest
-        self.cache: dict[str, bytes] = {}
+        self.fast = self._fast()
+
+    def _fast(self):
+        import public_tokenizers
+        import tiktoken
+
+        special = {t.content for t in self.tokenizer.get_added_tokens_decoder().values()}
+        table = byte_of()
+        try:
+            ranks = {bytes(map(table.__getitem__, t)): i for t, i in self.tokenizer.get_vocab().items() if t not in special}
+            return tiktoken.Encoding("same", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_to_numpy
+        except (KeyError, ValueError):
+            return None
+
+    def whole(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def _raw(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [array("I", e.ids).tobytes() for e in found]
+    def _one(self, text: str) -> bytes:
+        if self.fast is None or len(text) > 5000 and LONG_RUN.search(text):
+            return self.whole(text)
+        return self.fast(text, disallowed_special=()).tobytes()
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        if len(self.cache) > self.limit:
-            self.cache.clear()
-        cache, split, whole = self.cache, [], []
-        new: set[str] = set()
-        for text in texts:
-            if not text or UNSAFE.search(text):
-                split.append(None)
-                continue
-            words = text.replace(" ", "\0 ").split("\0") if "\0" not in text else None
-            split.append(words)
-            if words is not None:
-                new.update(words)
-        missing = [w for w in new if w not in cache]
-        parts: list[tuple[str, str, str]] = []
-        ask: set[str] = set()
-        for w in missing:
-            body = w.rstrip(TAIL)
-            if len(body) < len(w) and body[1:].isalpha() and body[0] == " ":
-                tail = w[len(body) :]
-                parts.append((w, body, tail))
-                ask.update(x for x in (body, tail) if x not in cache)
-            else:
-                ask.add(w)
-        asked = list(ask)
-        for at in range(0, len(asked), 4096):
-            chunk = asked[at : at + 4096]
-            cache.update(zip(chunk, self._raw(chunk)))
-        for w, body, tail in parts:
-            cache[w] = cache[body] + cache[tail]
-        whole = [t for t, words in zip(texts, split) if words is None and t]
-        rest = iter(self._raw(whole) if whole else ())
-        get = cache.__getitem__
-        out = [b"" if not t else b"".join(map(get, words)) if words is not None else next(rest) for t, words in zip(texts, split)]
-        for w in [w for w in missing if len(w) > self.longest]:
-            del cache[w]
+        out = [self._one(t) if t else b"" for t in texts]
+        probe = next((k for k, t in enumerate(texts) if t and len(t) < 20_000), None)
+        if self.fast is not None and probe is not None and out[probe] != self.whole(texts[probe]):
+            self.fast = None
+            return self.encode(texts)
         return out
