@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
-from . import packing
+from . import byte_bpe, near_dups, packing, quality_model, repetition, token_files, toxicity
 
 QUERIES = {
     "op1_packing": packing.query,
+    "op2_toxicity": toxicity.query,
+    "op3_byte_bpe": byte_bpe.query,
+    "op5_repetition": repetition.query,
+    "op6_token_files": token_files.query,
+    "op8_near_dups": near_dups.query,
+    "op9_quality_model": quality_model.query,
 }
 ORACLE_SQL: dict[str, str] = {}
