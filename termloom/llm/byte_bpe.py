@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 from array import array
 
 import numpy as np
@@ -21,6 +22,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .common import partitions, table
 
 CHUNK, OVERLAP = 16384, 512
+#: A space between other characters: no pre-token runs across its left side, wherever pre-tokenising began.
+IN_STEP = re.compile(r"\S \S\S*\s")
 
 
 class RankCodec:
@@ -125,15 +128,19 @@ def encode(docs: DataFrame, path: str, columns: tuple[str, ...] = ("n_tokens", "
                 part = batch.slice(at, 200)
                 start, text = part.column(3).to_pylist(), part.column(4).to_pylist()
                 found = [measured(codec, s, t) for s, t in zip(start, text)]
-                made = [pa.array([x.tobytes() if k < 2 else x for x in column], pa.binary()) for k, column in enumerate(zip(*found))] if found else [pa.array([], pa.binary())] * 3
-                yield pa.RecordBatch.from_arrays([*(part.column(k) for k in range(5)), *made], names=["row", "doc_id", "k", "start", "text", "ends", "counts", "ids"])
+                lengths = [np.diff(ends, prepend=s).astype("<u4").tobytes() for s, (ends, _, _) in zip(start, found)]
+                counts = [c.astype("<u4").tobytes() for _, c, _ in found]
+                # where both overlaps surely hold a shared boundary, the text has done its work
+                kept = [None if IN_STEP.search(t, 0, overlap) and IN_STEP.search(t, len(t) - overlap) else t for t in text]
+                made = [pa.array(kept, pa.string()), *(pa.array(x, pa.binary()) for x in (lengths, counts, [i for _, _, i in found]))]
+                yield pa.RecordBatch.from_arrays([*(part.column(k) for k in range(4)), *made], names=["row", "doc_id", "k", "start", "text", "lengths", "counts", "ids"])
 
     def joined(pdf):
         import pandas as pd
 
         codec = joined.codec = getattr(joined, "codec", None) or RankCodec(path)
         pdf = pdf.sort_values("k")
-        chunks = [(int(s), t, np.frombuffer(e, np.int64), np.frombuffer(c, np.int64), bytes(i)) for s, t, e, c, i in zip(pdf["start"], pdf["text"], pdf["ends"], pdf["counts"], pdf["ids"])]
+        chunks = [(int(s), t, int(s) + np.cumsum(np.frombuffer(e, "<u4"), dtype=np.int64), np.frombuffer(c, "<u4").astype(np.int64), bytes(i)) for s, t, e, c, i in zip(pdf["start"], pdf["text"], pdf["lengths"], pdf["counts"], pdf["ids"])]
         raw = stitch(codec, chunks)
         # a nullable integer column comes as objects or floats; the arrow conversion takes either
         return pd.DataFrame({"doc_id": pdf["doc_id"].iloc[:1].reset_index(drop=True)} | {c: [COLUMNS[c][1](codec, raw)] for c in columns})
@@ -146,7 +153,7 @@ def encode(docs: DataFrame, path: str, columns: tuple[str, ...] = ("n_tokens", "
         .select("row", "doc_id", "text", F.posexplode(F.expr(f"sequence(0L, cast(length(text) - 1 as bigint), {chunk}L)")).alias("k", "start"))
         .select("row", "doc_id", "k", "start", F.col("text").substr(F.col("start").cast("int") + 1, F.lit(limit)).alias("text"))
         .repartition(partitions(spark), "row", "k")
-        .mapInArrow(pieces, "row long, doc_id long, k int, start long, text string, ends binary, counts binary, ids binary")
+        .mapInArrow(pieces, "row long, doc_id long, k int, start long, text string, lengths binary, counts binary, ids binary")
         .groupBy("row")
         .applyInPandas(joined, schema)
     )
