@@ -39,8 +39,9 @@ def buckets(data: np.ndarray, starts: np.ndarray):
     shift = np.uint32(32 - BUCKETS_LOG2)
     h = x.copy()
     for k in range(1, max(GRAMS)):
-        h[: n - k] *= PRIME
-        h[: n - k] += x[k:]
+        m = max(n - k, 0)
+        h[:m] *= PRIME
+        h[:m] += x[n - m :]
         if k + 1 in GRAMS:
             size = k + 1
             got = ((h ^ np.uint32(size * 0x9E3779B1 & 0xFFFFFFFF)) * M32) >> shift
@@ -158,6 +159,21 @@ def fit(docs: DataFrame, labels: DataFrame, modulus: int = 4, held: int = 2, row
     return train(texts, np.array(ys, int))
 
 
+def where(docs: DataFrame, model: tuple[np.ndarray, float], keep) -> DataFrame:
+    """The rows of docs, with all their columns, whose score passes keep (from an array of scores to booleans)."""
+    shared, at_text = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index("text")
+
+    def run(batches):
+        weights, bias = shared.value
+        for batch in batches:
+            for at in range(0, batch.num_rows, 300):
+                part = batch.slice(at, 300)
+                z = logits(part.column(at_text).to_pylist(), weights, bias)
+                yield part.filter(pa.array(keep(1 / (1 + np.exp(-np.clip(z, -30, 30))))))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def score(docs: DataFrame, labels: DataFrame, modulus: int = 4, held: int = 2, threshold: float = 0.7) -> DataFrame:
     """Fit on the labels, then per row of docs: doc_id, held_out, score, predicted. Null counts as an empty text,
     whose score comes from the constants alone. Rows that repeat are scored as often as they occur."""

@@ -91,9 +91,9 @@ class Matcher:
         folded = fold(text)
         if "  " in folded:
             folded = " " + " ".join(folded.split()) + " "
-        n = folded.count(" ") - 1
-        if not len(self.automaton) or n < 1:
-            return 0.0, max(n, 0), 0
+        n = 0 if folded.isspace() else folded.count(" ") - 1
+        if not len(self.automaton) or not n:
+            return 0.0, n, 0
         heaviest: dict[int, float] = {}
         spared: list[tuple[int, int]] = []
         for end, (size, weight, exception) in self.automaton.iter(folded):
@@ -103,7 +103,7 @@ class Matcher:
             elif weight > heaviest.get(start, 0.0):
                 heaviest[start] = weight
         hits = [w for s, w in heaviest.items() if not any(a <= s < b for a, b in spared)]
-        return sum(hits), n, len(hits)
+        return float(sum(hits)), n, len(hits)
 
 
 def features(total: np.ndarray, words: np.ndarray) -> np.ndarray:
@@ -205,6 +205,22 @@ def measure(docs: DataFrame, weights: dict[str, float], curve: np.ndarray = DEFA
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, total double, n_words long, n_hits long, score double")
 
 
+def where(docs: DataFrame, weights: dict[str, float], curve: np.ndarray, keep) -> DataFrame:
+    """The rows of docs, with all their columns, whose score passes keep (from an array of scores to booleans)."""
+    at_text = docs.columns.index("text")
+
+    def run(batches):
+        matcher = Matcher(weights)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1000):
+                part = batch.slice(at, 1000)
+                total, words, _ = zip(*map(matcher.measure, part.column(at_text).to_pylist()))
+                x = features(np.array(total), np.array(words, float))
+                yield part.filter(pa.array(keep(1 / (1 + np.exp(-np.clip(x @ curve, -30, 30))))))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def score(docs: DataFrame, labels: DataFrame, modulus: int = 3, held: int = 1, threshold: float = 0.7) -> DataFrame:
     """Fit on the labels, then per row of docs: doc_id, held_out, score, predicted, total, n_words, n_hits."""
     weights, curve = fit(docs, labels, modulus, held)
