@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
+from . import turn_queries
+
+QUERIES = {**turn_queries.QUERIES}
+ORACLE_SQL = {**turn_queries.ORACLE_SQL}
