@@ -124,7 +124,7 @@ def html_fields(html: Column | str) -> Column:
         strip(between(html, "<title>")).alias("title"),
         strip(remove_tags(F.regexp_extract(html, r"(?is)<h[12][^>]*>(.*?)</h[12]>", 1))).alias("heading"),
         F.regexp_extract_all(html, F.lit(r'href="([^"]*)"'), F.lit(1)).alias("links"),
-        F.regexp_replace(F.regexp_extract(html, r"([0-9][0-9,. ]*) views", 1), "[^0-9]", "").cast("long").alias("views"),
+        F.regexp_replace(F.regexp_extract(html, r"([0-9][0-9,. ]*) views", 1), "[^0-9]", "").try_cast("long").alias("views"),
     )
 
 
