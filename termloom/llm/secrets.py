@@ -179,5 +179,9 @@ def redacted(docs: DataFrame, mark: str = "[SECRET]", text_col: str = "text") ->
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    counts = [F.size(F.filter("base_spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k, *_ in BASE]
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("base_spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(k) for k, *_ in BASE]
     return found.select("doc_id", *counts, F.sha2(joined("base_spans"), 256).alias("base_sha256"), joined("spans").alias("spans"))

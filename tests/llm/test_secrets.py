@@ -38,9 +38,11 @@ def test_base_spans(spark):
     assert added[3] == {"markov:7:31"} and not added[14] and not added[19]
 
 
-def test_query_against_brute_force(spark, sf):
-    texts = {r.doc_id: r.text for r in table(spark, sf, "documents").collect()}
-    got = secrets.query(spark, sf).collect()
+def test_query_against_brute_force(spark, sf, tmp_path):
+    docs = [(r.doc_id, r.text) for r in table(spark, sf, "documents").collect()] + [(10**6 + i, t) for i, t in enumerate(TEXTS)]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    texts = dict(docs)
+    got = secrets.query(spark, str(tmp_path)).collect()
     assert len(got) == len(texts)
     for r in got:
         want = base(texts[r.doc_id])
