@@ -55,7 +55,7 @@ def simplified(turns: Column | str = "turns") -> Column:
     """array of (action, observation), or null for records that go: an interrupt in an observation, or at most one
     turn once a closing `exit` is taken off."""
     turns = F.col(turns) if isinstance(turns, str) else turns
-    last = F.lower(strip(F.element_at(turns, -1)["action"])) == "exit"
+    last = F.lower(strip(F.try_element_at(turns, F.lit(-1))["action"])) == "exit"
     kept = F.when((F.size(turns) > 0) & F.coalesce(last, F.lit(False)), F.slice(turns, 1, F.greatest(F.size(turns) - 1, F.lit(0)))).otherwise(turns)
     stopped = F.exists(turns, lambda t: F.coalesce(t["observation"].contains("^C"), F.lit(False)))
     pairs = F.transform(kept, lambda t: F.struct(t["action"].alias("action"), t["observation"].alias("observation")))

@@ -41,7 +41,7 @@ def final_screens(casts: DataFrame) -> DataFrame:
 
 def rebuilt_output(casts: DataFrame) -> DataFrame:
     """path, version, output, n_output, duration (the last time) of recordings."""
-    return casts.select("path", "version", output_text().alias("output"), F.size(F.filter("events", lambda e: e["type"] == "o")).alias("n_output"), F.element_at("events", -1)["t"].alias("duration"))
+    return casts.select("path", "version", output_text().alias("output"), F.size(F.filter("events", lambda e: e["type"] == "o")).alias("n_output"), F.try_element_at("events", F.lit(-1))["t"].alias("duration"))
 
 
 def stream_matches(casts: DataFrame, streams: DataFrame, key: str = "stem") -> DataFrame:

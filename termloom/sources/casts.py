@@ -15,7 +15,7 @@ NAMES = {"o": "output", "i": "input", "m": "marker", "r": "resize", "x": "exit"}
 
 def read_texts(spark: SparkSession, path: str, glob: str = "*", errors: str = "strict") -> DataFrame:
     """path, stem, text of files found recursively. errors 'strict': text is null where bytes are no UTF-8; 'ignore':
-    such bytes are left out. Line ends become \\n."""
+    such bytes are left out. Line ends become \\n. Files of no bytes at all are not listed by Spark and give no row."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(path)
     if errors == "strict":
         raw = F.col("content").cast("string")
@@ -121,15 +121,15 @@ def header_of(text: Column | str, version: Column | str) -> Column:
     """struct(width, height, duration, command, title, shell, term). In version 2 and 3 the last object line counts."""
     text, version = (F.col(c) if isinstance(c, str) else c for c in (text, version))
     objects = F.filter(F.split(text, "\n", -1), lambda x: F.ltrim(x).startswith("{") & F.try_parse_json(x).isNotNull())
-    head = F.when(version == 1, text).otherwise(F.element_at(objects, -1))
+    head = F.when(version == 1, text).otherwise(F.try_element_at(objects, F.lit(-1)))
 
     def field(*paths: str):
         return F.coalesce(*[F.get_json_object(head, p) for p in paths])
 
     return F.struct(
-        F.coalesce(F.when(version == 3, field("$.term.cols")).otherwise(field("$.width")).cast("int"), F.lit(80)).alias("width"),
-        F.coalesce(F.when(version == 3, field("$.term.rows")).otherwise(field("$.height")).cast("int"), F.lit(24)).alias("height"),
-        F.coalesce(field("$.duration").cast("double"), F.lit(0.0)).alias("duration"),
+        F.coalesce(F.when(version == 3, field("$.term.cols")).otherwise(field("$.width")).try_cast("int"), F.lit(80)).alias("width"),
+        F.coalesce(F.when(version == 3, field("$.term.rows")).otherwise(field("$.height")).try_cast("int"), F.lit(24)).alias("height"),
+        F.coalesce(field("$.duration").try_cast("double"), F.lit(0.0)).alias("duration"),
         F.coalesce(field("$.command"), F.lit("")).alias("command"),
         F.coalesce(field("$.title"), F.lit("")).alias("title"),
         F.coalesce(field("$.env.SHELL"), F.lit("")).alias("shell"),
@@ -149,7 +149,7 @@ def event_stream(casts: DataFrame) -> DataFrame:
     def count(code: str):
         return F.size(F.filter("events", lambda e: e["type"] == code)).cast("long")
 
-    first, last = F.get("events", F.lit(0))["t"], F.element_at("events", -1)["t"]
+    first, last = F.get("events", F.lit(0))["t"], F.try_element_at("events", F.lit(-1))["t"]
     duration = F.when(F.size("events") == 0, F.when(F.col("version") == 3, 0.0).otherwise(F.col("header.duration"))).when(F.col("version") == 2, last - first).otherwise(last)
     counts = {f"{n}_events": count(c) for c, n in NAMES.items()}
     statistics = F.struct(F.size("events").cast("long").alias("total_events"), *[v.alias(k) for k, v in counts.items()], F.round(duration, 2).alias("duration"))
