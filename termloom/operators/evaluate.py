@@ -11,34 +11,46 @@ from ..functions.text import collapse_blank_lines
 CODES = ("file_read_error", "judge_rejected", "no_results", "no_winner", "turn_count_minority", "similar_models_minority", "no_input_file", "low_final_similarity")
 
 
-def turn_counts(models: DataFrame) -> DataFrame:
-    """models: file_id, model, turns (array). Adds n_turns, n_models of the file, and same_count: models with as many turns."""
-    return models.withColumn("n_turns", F.size("turns")).withColumns(
-        {"n_models": F.count("*").over(W.partitionBy("file_id")), "same_count": F.count("*").over(W.partitionBy("file_id", "n_turns"))}
-    )
+def assembled(models: DataFrame, judged: DataFrame) -> DataFrame:
+    """One row per judged file, by one shuffle on the file: judged's columns, and from its models (file_id, model,
+    initial_output, turns) n_models, won (the winner's, null if it isn't there), same_count (models with as many
+    turns) and peers (the others among these). What follows in this module keeps to that partitioning."""
+    row = F.struct("model", "initial_output", "turns") if "initial_output" in models.columns else F.struct("model", F.lit("").alias("initial_output"), "turns")
+    files = models.groupBy("file_id").agg(F.collect_list(row).alias("results"))
+    j = judged.join(files, "file_id", "left").withColumn("results", F.coalesce("results", F.array().cast(files.schema["results"].dataType)))
+    j = j.withColumns({"n_models": F.size("results").cast("long"), "won": F.get(F.filter("results", lambda r: r["model"] == F.col("winner")), F.lit(0))})
+    alike = F.filter("results", lambda r: F.size(r["turns"]) == F.size(F.col("won.turns")))
+    j = j.withColumn("alike", alike).withColumns({"same_count": F.size("alike").cast("long"), "peers": F.filter("alike", lambda r: r["model"] != F.col("winner"))})
+    return j.drop("results", "alike")
 
 
 def majority(models: DataFrame, judged: DataFrame) -> DataFrame:
     """judged: file_id, winner. file_id, winner, n_turns, same_count, n_models, majority: the winner's own group is more than half."""
-    return turn_counts(models).join(judged, "file_id").where(F.col("model") == F.col("winner")).select("file_id", "winner", "n_turns", "same_count", "n_models", (F.col("same_count") * 2 > F.col("n_models")).alias("majority"))
+    a = assembled(models, judged).where(F.col("won").isNotNull())
+    return a.select("file_id", "winner", F.size("won.turns").alias("n_turns"), "same_count", "n_models", (F.col("same_count") * 2 > F.col("n_models")).alias("majority"))
 
 
-def model_similarity(models: DataFrame, judged: DataFrame, ratio=sequence_ratio) -> DataFrame:
-    """Mean likeness of inputs and outputs to the winner's, of each other model with as many turns. The join's keys
-    are file and turn count, so that a file's models meet only each other."""
-    counted = turn_counts(models).join(judged.select("file_id", "winner"), "file_id")
-    win = counted.where(F.col("model") == F.col("winner")).select("file_id", "n_turns", F.col("turns").alias("w"))
-    others = counted.where(F.col("model") != F.col("winner")).select("file_id", "n_turns", "model", "turns")
-    pairs = others.join(win, ["file_id", "n_turns"]).select("file_id", "model", "n_turns", F.explode_outer(F.arrays_zip("turns", "w")).alias("p"))
+def _peer_similarity(a: DataFrame, ratio) -> DataFrame:
+    peers = a.select("file_id", F.col("won.turns").alias("w"), F.explode("peers").alias("p")).select("file_id", "w", "p.model", F.col("p.turns").alias("turns"))
+    pairs = peers.select("file_id", "model", F.size("w").alias("n"), F.explode_outer(F.arrays_zip("turns", "w")).alias("p"))
     both = (guarded_ratio(F.col("p.w.input"), F.col("p.turns.input"), ratio) + guarded_ratio(F.col("p.w.output"), F.col("p.turns.output"), ratio)) / 2
-    return pairs.withColumn("likeness", F.when(F.col("n_turns") > 0, both).otherwise(0.0)).groupBy("file_id", "model").agg(F.avg("likeness").alias("similarity"))
+    return pairs.withColumn("likeness", F.when(F.col("n") > 0, both).otherwise(0.0)).groupBy("file_id", "model").agg(F.avg("likeness").alias("similarity"))
+
+
+def model_similarity(models: DataFrame, judged: DataFrame, ratio=sequence_ratio) -> DataFrame:
+    """Mean likeness of inputs and outputs to the winner's, of each other model with as many turns: file_id, model, similarity."""
+    return _peer_similarity(assembled(models, judged), ratio)
+
+
+def _with_similar(a: DataFrame, threshold: float, ratio) -> DataFrame:
+    n = _peer_similarity(a, ratio).groupBy("file_id").agg(F.count_if(F.col("similarity") >= threshold).alias("near"))
+    return a.join(n, "file_id", "left").withColumn("similar", 1 + F.coalesce("near", F.lit(0))).drop("near")
 
 
 def similar_models(models: DataFrame, judged: DataFrame, threshold: float = 0.9, ratio=sequence_ratio) -> DataFrame:
     """file_id, similar (the winner included), n_models, majority."""
-    alike = model_similarity(models, judged, ratio).groupBy("file_id").agg(F.count_if(F.col("similarity") >= threshold).alias("alike"))
-    base = majority(models, judged).select("file_id", "n_models")
-    return base.join(alike, "file_id", "left").withColumn("similar", 1 + F.coalesce("alike", F.lit(0))).select("file_id", "similar", "n_models", (F.col("similar") * 2 > F.col("n_models")).alias("majority"))
+    a = assembled(models, judged).where(F.col("won").isNotNull())
+    return _with_similar(a, threshold, ratio).select("file_id", "similar", "n_models", (F.col("similar") * 2 > F.col("n_models")).alias("majority"))
 
 
 def result_text(initial: Column | str, turns: Column | str) -> Column:
@@ -56,23 +68,25 @@ def gate(judged: DataFrame, models: DataFrame, originals: DataFrame, threshold:
     """judged: file_id, success, suitable, winner. models: file_id, model, initial_output, turns. originals: file_id, text.
     One row per judged file: file_id, code (null: success), final_similarity. The first failing gate names the code.
     The costly ratios run only on rows that the cheap gates leave."""
-    counts = models.groupBy("file_id").agg(F.count("*").alias("results"))
-    won = models.join(judged.select("file_id", "winner"), "file_id").where(F.col("model") == F.col("winner")).select("file_id", result_text("initial_output", "turns").alias("rebuilt"))
-    m = majority(models, judged).select("file_id", F.col("majority").alias("same"))
-    cheap = judged.join(counts, "file_id", "left").join(won, "file_id", "left").join(m, "file_id", "left").join(originals.select("file_id", F.col("text").alias("original")), "file_id", "left")
-    code = (
+    a = assembled(models, judged).join(originals.select("file_id", F.col("text").alias("original")), "file_id", "left")
+    early = (
         F.when(~F.coalesce("success", F.lit(True)), "file_read_error")
         .when(~F.coalesce("suitable", F.lit(True)), "judge_rejected")
-        .when(F.coalesce("results", F.lit(0)) == 0, "no_results")
-        .when(F.col("rebuilt").isNull(), "no_winner")
-        .when(~F.col("same"), "turn_count_minority")
+        .when(F.col("n_models") == 0, "no_results")
+        .when(F.col("won").isNull(), "no_winner")
+        .when(F.col("same_count") * 2 <= F.col("n_models"), "turn_count_minority")
     )
-    cheap = cheap.withColumn("early", code)
-    open_ = cheap.where(F.col("early").isNull())
-    s = similar_models(models.join(open_.select("file_id"), "file_id", "left_semi"), open_.select("file_id", "winner"), threshold, ratio).select("file_id", F.col("majority").alias("alike"))
-    rest = open_.join(s, "file_id", "left").withColumn("final_similarity", F.when(F.col("alike") & F.col("original").isNotNull(), final_similarity("original", "rebuilt", ratio)))
-    late = F.when(~F.coalesce("alike", F.lit(False)), "similar_models_minority").when(F.col("original").isNull(), "no_input_file").when(F.col("final_similarity") < final_threshold, "low_final_similarity")
-    return rest.select("file_id", late.alias("code"), "final_similarity").unionByName(cheap.where(F.col("early").isNotNull()).select("file_id", F.col("early").alias("code"), F.lit(None).cast("double").alias("final_similarity")))
+    # rows that a cheap gate stops bring no peers and no text to the ratios
+    a = a.withColumn("early", early)
+    stopped = F.col("early").isNotNull()
+    a = a.withColumns({"peers": F.when(stopped, F.slice("peers", 1, 0)).otherwise(F.col("peers")), "original": F.when(~stopped, F.col("original"))})
+    a = _with_similar(a, threshold, ratio).withColumn("enough", F.col("similar") * 2 > F.col("n_models"))
+    checked = ~stopped & F.col("enough") & F.col("original").isNotNull()
+    rebuilt = F.when(checked, result_text("won.initial_output", "won.turns"))
+    a = a.withColumns({"original": F.when(checked, F.col("original")), "rebuilt": rebuilt, "no_file": F.col("original").isNull()})
+    a = a.withColumn("final_similarity", F.when(F.col("rebuilt").isNotNull(), final_similarity("original", "rebuilt", ratio)))
+    late = F.when(~F.col("enough"), "similar_models_minority").when(F.col("no_file"), "no_input_file").when(F.col("final_similarity") < final_threshold, "low_final_similarity")
+    return a.select("file_id", F.coalesce("early", late).alias("code"), "final_similarity")
 
 
 def outcome_counts(results: DataFrame) -> DataFrame:
