@@ -20,9 +20,9 @@ GRAMS = (3, 4, 5)
 #: Kinds of features: each counts alike in a document's average, however many features it has.
 GROUPS = len(GRAMS) + 2
 #: Labelled rows that a model is fitted on, at most.
-SAMPLE_ROWS = 6_000
+SAMPLE_ROWS = 3_000
 #: Of those rows' text, so many bytes at most are held by the driver; rows beyond are left out of the sample.
-SAMPLE_BYTES = 64_000_000
+SAMPLE_BYTES = 32_000_000
 EPOCHS, RATE, BATCH = 8, 2.0, 32
 
 M32 = np.uint32(2654435761)

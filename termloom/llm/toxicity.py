@@ -181,7 +181,7 @@ def fit(docs: DataFrame, labels: DataFrame, modulus: int = 3, held: int = 1, row
     weights = {f" {w} ": v for w, v in LEXICON.items()}
     if not positives or not negatives:
         return weights, DEFAULT_CURVE
-    some = terms.where((F.col("pos") >= 4) & (F.col("pos") > F.col("neg"))).orderBy(F.desc(F.expr("pos - neg")), "term").limit(20 * LEARNED)
+    some = terms.where((F.col("pos") >= 4) & (F.col("pos") > F.col("neg"))).orderBy(F.desc(F.expr("pos - neg")), "term").limit(4 * LEARNED)
     weights |= choose([tuple(r) for r in some.collect()], positives, negatives)
     found = measure(taken.select(F.col("y").cast("long").alias("doc_id"), "text"), weights).select("doc_id", "total", "n_words").toPandas()
     y = found["doc_id"].to_numpy(float)
