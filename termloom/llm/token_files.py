@@ -38,93 +38,100 @@ def shares(counts: np.ndarray, total: int) -> np.ndarray:
     return out
 
 
+#: Share of the interval, of 1024, that a prediction of each confidence gets: what it has to hold from its last hits.
+TRUST2 = np.array([0, 120, 420, 700, 880], np.int32)
+TRUST1 = np.array([0, 40, 200, 450, 700], np.int32)
+
+
 class Model:
-    """The state of n blocks. prior: counts of the file's ids, 256 by 256."""
+    """The state of n blocks. prior: counts of the file's ids, 256 by 256.
+
+    A slot of a prediction table holds id * 8 + confidence (1 to 4, 0: nothing yet); a hit raises the confidence, a
+    miss puts the new id in its place. An order's weight in the mixture is its slot's confidence."""
 
     def __init__(self, n: int, prior: np.ndarray):
-        self.n, self.lanes = n, np.arange(n)
-        self.base = self.lanes << SLOTS
-        self.t1, self.t2 = np.zeros(n << SLOTS, np.int32), np.zeros(n << SLOTS, np.int32)  # id * 4 + confidence + 1
-        self.s1, self.s2 = np.full(n * 4, 1 << 14, np.int32), np.full(n * 4, 1 << 14, np.int32)  # hit rates in 1/65536
-        self.lane4 = self.lanes * 4
-        self.last, self.before = np.zeros(n, np.int64), np.zeros(n, np.int64)
+        self.n, lanes = n, np.arange(n, dtype=np.int32)
+        self.base, self.lane256 = lanes << SLOTS, lanes << 8
+        self.t1, self.t2 = np.zeros(n << SLOTS, np.int32), np.zeros(n << SLOTS, np.int32)
+        self.last, self.mixed = np.zeros(n, np.int32), np.zeros(n, np.int32)
         upper = prior.sum(axis=1)
-        self.counts = np.tile(shares(upper[None, :], 512), (n, 1))
+        self.counts = np.tile(shares(upper[None, :], 512), (n, 1)).astype(np.int32)
         low = np.where(upper[:, None] > 0, prior, np.eye(1, 256, dtype=prior.dtype))
         low = shares(low, 1 << LOW)
-        self.low_size = low.ravel()
-        self.low_cum = (np.cumsum(low, axis=1) - low).ravel()
-        self.low_of = np.repeat(np.tile(np.arange(256), 256), low.ravel())
+        self.low_size = low.ravel().astype(U)
+        self.low_cum = (np.cumsum(low, axis=1) - low).ravel().astype(U)
+        self.low_of = np.repeat(np.tile(np.arange(256, dtype=np.int32), 256), low.ravel())
         self.step = 0
         self.refresh()
 
     def refresh(self) -> None:
         high = shares(self.counts, 1 << HIGH)
-        self.high_size, self.high_cum = high.ravel(), (np.cumsum(high, axis=1) - high).ravel()
-        self.high_of = np.repeat(np.tile(np.arange(256, dtype=np.uint8), self.n), self.high_size)
+        self.high_size, self.high_cum = high.ravel().astype(np.uint16), (np.cumsum(high, axis=1) - high).ravel().astype(np.uint16)
+        self.high_of = np.repeat(np.tile(np.arange(256, dtype=np.uint8), self.n), high.ravel())
 
     def predict(self) -> None:
-        """Sets p1, p2 (or -1) and the mixture's shares f1, f2, f0."""
-        self.i1 = self.base + ((self.last * 40503 >> 4) & ((1 << SLOTS) - 1))
-        self.i2 = self.base + (((self.last * 40503 + self.before * 30011) >> 5) & ((1 << SLOTS) - 1))
-        v1, v2 = self.t1[self.i1] - 1, self.t2[self.i2] - 1
-        self.p1, self.p2 = v1 >> 2, v2 >> 2
-        self.c1, self.c2 = self.lane4 + (v1 & 3), self.lane4 + (v2 & 3)
-        self.f2 = np.where(v2 >= 0, 4 + (self.s2[self.c2] * 7 >> 9), 0)
-        self.f1 = np.where((v1 >= 0) & (self.p1 != self.p2), 4 + ((992 - self.f2) * (self.s1[self.c1] >> 2) >> 14), 0)
+        """Sets p1, p2 and the mixture's shares f1, f2 and their sum f12; the rest of 1024 is order 0's."""
+        spread = self.last * np.int32(40503)  # 32 bits, wrapping
+        mask = np.int32((1 << SLOTS) - 1)
+        self.i1 = self.base + (spread >> 4 & mask)
+        self.i2 = self.base + ((spread + self.mixed) >> 5 & mask)
+        self.v1, self.v2 = self.t1.take(self.i1), self.t2.take(self.i2)
+        self.p1, self.p2 = self.v1 >> 3, self.v2 >> 3
+        self.f2 = TRUST2.take(self.v2 & 7)
+        self.f1 = (1000 - self.f2) * TRUST1.take(self.v1 & 7) >> 10
+        self.f1 *= self.p1 != self.p2
         self.f12 = self.f1 + self.f2
 
     def update(self, ids: np.ndarray) -> None:
-        """ids: of this step in each block."""
-        for t, i, p, s, c in ((self.t1, self.i1, self.p1, self.s1, self.c1), (self.t2, self.i2, self.p2, self.s2, self.c2)):
-            known, held = p >= 0, p == ids
-            rate = s[c]
-            s[c] = np.where(known, rate + (((held << 16) - rate) >> 5), rate)
-            old = t[i]
-            t[i] = np.where(held, old + ((old - 1 & 3) < 3), (ids << 2) + 1)
-        self.counts.reshape(-1)[(self.lanes << 8) + (ids >> 8)] += 8
-        self.before, self.last = self.last, ids
+        """ids: of this step in each block (int32)."""
+        fresh = (ids << 3) + np.int32(1)
+        for t, i, v, p in ((self.t1, self.i1, self.v1, self.p1), (self.t2, self.i2, self.v2, self.p2)):
+            t[i] = np.where((p == ids) & (v > 0), v + ((v & 7) < 4), fresh)
+        self.counts.reshape(-1)[self.lane256 + (ids >> 8)] += 8
+        self.mixed, self.last = self.last * np.int32(30011), ids
         self.step += 1
         if self.step >= 64 and self.step & (self.step - 1) == 0 or self.step % 1024 == 0:
             self.refresh()
 
 
-def narrow(size: np.ndarray, bits: int, cum: np.ndarray, width: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    unit = size >> U(bits)
-    return unit * cum.astype(U), unit * width.astype(U)
-
-
 def encode_blocks(ids: np.ndarray, prior: np.ndarray) -> list[bytes]:
     """ids: blocks by positions. The code of each block."""
     n, length = ids.shape
-    model, columns = Model(n, prior), np.ascontiguousarray(ids.T.astype(np.int64))
+    model, columns = Model(n, prior), np.ascontiguousarray(ids.T.astype(np.int32))
     low, size, at = np.zeros(n, U), np.full(n, (1 << 48) - 1, U), np.zeros(n, np.int64)
     out = np.zeros((length + 16, n), np.uint32)
+    most = 0
 
     def emit(which) -> None:
-        nonlocal out
-        if at.max() >= len(out):
+        nonlocal out, most
+        if most + 1 >= len(out):
             out = np.concatenate([out, np.zeros((len(out) // 2, n), np.uint32)])
-        x = low[which]
-        out[at[which], which] = x >> U(32)  # a carry may make it 17 bits
+        x, k = low[which], at[which]
+        out[k, which] = x >> U(32)  # a carry may make it 17 bits
         low[which] = (x & U(0xFFFFFFFF)) << U(16)
-        at[which] += 1
+        at[which] = k + 1
+        most = max(most, int(k.max()) + 1)
 
     for k in range(length):
         x = columns[k]
         model.predict()
-        hit2, hit1 = model.p2 == x, (model.p1 == x) & (model.f1 > 0)
-        miss = ~(hit2 | hit1)
-        add, size = narrow(size, MIX, np.where(hit2, 0, np.where(hit1, model.f2, model.f12)), np.where(hit2, model.f2, np.where(hit1, model.f1, (1 << MIX) - model.f12)))
-        low += add
-        m = np.flatnonzero(miss)
+        hit2 = (model.p2 == x) & (model.f2 > 0)
+        hit1 = (model.p1 == x) & (model.f1 > 0)
+        unit = size >> U(MIX)
+        begin = np.where(hit1, model.f2, model.f12)
+        width = np.where(hit1, model.f1, (1 << MIX) - model.f12)
+        begin[hit2], width[hit2] = 0, model.f2[hit2]
+        low += unit * begin.astype(U)
+        size = unit * width.astype(U)
+        m = np.flatnonzero(~(hit2 | hit1))
         if len(m):
             xm = x[m]
             high = (m << 8) + (xm >> 8)
-            add, s = narrow(size[m], HIGH, model.high_cum[high], model.high_size[high])
-            more, s = narrow(s, LOW, model.low_cum[xm], model.low_size[xm])
-            low[m] += add + more
-            size[m] = s
+            unit = size[m] >> U(HIGH)
+            add, s = unit * model.high_cum.take(high), unit * model.high_size.take(high)
+            unit = s >> U(LOW)
+            low[m] += add + unit * model.low_cum.take(xm)
+            size[m] = unit * model.low_size.take(xm)
         while len(small := np.flatnonzero(size < U(1 << 32))):
             emit(small)
             size[small] <<= U(16)
@@ -141,33 +148,36 @@ def encode_blocks(ids: np.ndarray, prior: np.ndarray) -> list[bytes]:
 
 def decode_blocks(codes: list[bytes], length: int, prior: np.ndarray) -> np.ndarray:
     n = len(codes)
-    model, ids = Model(n, prior), np.empty((length, n), np.int64)
+    model, ids = Model(n, prior), np.empty((length, n), np.int32)
     sizes = np.array([len(c) // 2 for c in codes])
-    words = np.zeros((int(sizes.max()) + 4, n), U)
+    words = np.zeros((int(sizes.max()) + 4, n), np.uint16)
     for i, c in enumerate(codes):
         words[: sizes[i], i] = np.frombuffer(c, "<u2")
-    code, size, at = words[0] << U(32) | words[1] << U(16) | words[2], np.full(n, (1 << 48) - 1, U), np.full(n, 3)
-    top = U((1 << MIX) - 1)
+    first = words[:3].astype(U)
+    code, size, at = first[0] << U(32) | first[1] << U(16) | first[2], np.full(n, (1 << 48) - 1, U), np.full(n, 3)
     for k in range(length):
         model.predict()
-        v = np.minimum(code // (size >> U(MIX)), top).astype(np.int64)
-        hit2 = v < model.f2
-        hit1 = (v < model.f12) & ~hit2
-        sub, size = narrow(size, MIX, np.where(hit2, 0, np.where(hit1, model.f2, model.f12)), np.where(hit2, model.f2, np.where(hit1, model.f1, (1 << MIX) - model.f12)))
-        code -= sub
-        x = np.where(hit2, model.p2, model.p1).astype(np.int64)
-        m = np.flatnonzero(v >= model.f12)
+        unit = size >> U(MIX)
+        v = np.minimum(code // unit, U((1 << MIX) - 1)).astype(np.int32)
+        hit2, hit1 = v < model.f2, v < model.f12
+        x = np.where(hit2, model.p2, model.p1)
+        hit1 ^= hit2
+        begin = np.where(hit1, model.f2, model.f12)
+        width = np.where(hit1, model.f1, (1 << MIX) - model.f12)
+        begin[hit2], width[hit2] = 0, model.f2[hit2]
+        code -= unit * begin.astype(U)
+        size = unit * width.astype(U)
+        m = np.flatnonzero(~(hit2 | hit1))
         if len(m):
-            c, s = code[m], size[m]
-            v = np.minimum(c // (s >> U(HIGH)), U((1 << HIGH) - 1)).astype(np.int64)
-            upper = model.high_of[(m << HIGH) + v].astype(np.int64)
-            at_high = (m << 8) + upper
-            sub, s = narrow(s, HIGH, model.high_cum[at_high], model.high_size[at_high])
-            c -= sub
-            v = np.minimum(c // (s >> U(LOW)), U((1 << LOW) - 1)).astype(np.int64)
-            xm = (upper << 8) + model.low_of[(upper << LOW) + v]
-            sub, s = narrow(s, LOW, model.low_cum[xm], model.low_size[xm])
-            x[m], code[m], size[m] = xm, c - sub, s
+            c, unit = code[m], size[m] >> U(HIGH)
+            v = np.minimum(c // unit, U((1 << HIGH) - 1)).astype(np.int64)
+            upper = model.high_of.take((m << HIGH) + v).astype(np.int64)
+            high = (m << 8) + upper
+            c -= unit * model.high_cum.take(high)
+            unit = unit * model.high_size.take(high) >> U(LOW)
+            v = np.minimum(c // unit, U((1 << LOW) - 1)).astype(np.int64)
+            xm = (upper << 8) + model.low_of.take((upper << LOW) + v)
+            x[m], code[m], size[m] = xm, c - unit * model.low_cum.take(xm), unit * model.low_size.take(xm)
         while len(small := np.flatnonzero(size < U(1 << 32))):
             code[small] = code[small] << U(16) | words[at[small], small]
             size[small] <<= U(16)
@@ -226,7 +236,7 @@ def unpack_file(data: bytes) -> tuple[list[int | None], list[bytes]]:
         if zlib.crc32(codes[-1]) != crc:
             raise ValueError(f"the checksum of block {len(codes) - 1} fails")
         at += length
-    ids = decode_blocks(codes, block, prior.astype(np.int64).reshape(256, 256)).reshape(-1)[:total] if n else np.zeros(0, np.int64)
+    ids = decode_blocks(codes, block, prior.astype(np.int64).reshape(256, 256)).reshape(-1)[:total].astype(np.int64) if n else np.zeros(0, np.int64)
     raw, ends = ids.astype("<u4").tobytes(), np.cumsum(counts.astype(np.int64)) * 4
     starts = ends - counts.astype(np.int64) * 4
     return [None if z else int(d) for d, z in zip(doc_ids, null)], [raw[a:b] for a, b in zip(starts.tolist(), ends.tolist())]
