@@ -20,3 +20,21 @@ def session(app: str = "termloom", **conf: str) -> SparkSession:
     for k, v in (SETTINGS | conf).items():
         builder = builder.config(k, v)
     return builder.getOrCreate()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give executors this package, unless PYTHONPATH names its folder (then they are taken to have it)."""
+    import os
+    import shutil
+    import tempfile
+
+    package = os.path.dirname(os.path.abspath(__file__))
+    above = os.path.dirname(package)
+    if above in map(os.path.abspath, filter(None, os.environ.get("PYTHONPATH", "").split(os.pathsep))) or getattr(spark.sparkContext, "_termloom", False):
+        return
+    with tempfile.TemporaryDirectory() as d:
+        root = os.path.join(d, "package")
+        shutil.copytree(package, os.path.join(root, "termloom"), ignore=shutil.ignore_patterns("__pycache__"))
+        # Spark serves the archive for as long as the application runs
+        spark.sparkContext.addPyFile(shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix="termloom-"), "termloom"), "zip", root))
+    spark.sparkContext._termloom = True
