@@ -24,6 +24,8 @@ SAMPLE_ROWS = 3_000
 #: Of those rows' text, so many bytes at most are held by the driver; rows beyond are left out of the sample.
 SAMPLE_BYTES = 32_000_000
 EPOCHS, RATE, BATCH = 8, 2.0, 32
+#: Steps at least: a small sample is gone through more often.
+STEPS = 750
 
 M32 = np.uint32(2654435761)
 PRIME = np.uint32(16777619)
@@ -122,8 +124,10 @@ def train(texts: list[str | None], labels: np.ndarray, seed: int = 7) -> tuple[n
     vectors = rng.uniform(-1 / DIM, 1 / DIM, (size, DIM)).astype(np.float32)
     layer, constant = np.zeros((2, DIM), np.float32), np.zeros(2, np.float32)
     layer[0], layer[1] = -0.5, 0.5
-    rows, steps, done = rows_of(texts), EPOCHS * -(-len(texts) // BATCH), 0
-    for _ in range(EPOCHS):
+    rows, each, done = rows_of(texts), -(-len(texts) // BATCH), 0
+    epochs = max(EPOCHS, -(-STEPS // each))
+    steps = epochs * each
+    for _ in range(epochs):
         order = rng.permutation(len(rows))
         for at in range(0, len(order), BATCH):
             batch = order[at : at + BATCH]
