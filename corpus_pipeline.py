@@ -24,6 +24,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality model does not predict good go."""
     model = quality_model.fit(docs, table(spark, sf_dir, "labels"))
+    if not model[0].any() and not docs.isEmpty():
+        raise ValueError("the quality model has learned nothing, since there are no labels: no document would stay")
     return quality_model.where(docs, model, lambda score: score >= 0.7)
 
 

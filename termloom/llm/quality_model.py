@@ -2,12 +2,16 @@
 
 A document is the average of the vectors of its words, byte n-grams and whether its word pairs repeat,
 hashed into buckets; a softmax layer turns the average into class probabilities. Vectors and layer are learned together by stochastic gradient
-descent in numpy, on a bounded sample of labelled rows. Once learned, a bucket's vector only ever meets
+descent in numpy, on the rows of a bounded number of labelled ids. Executors count the sample's buckets and the driver keeps
+the counts in a temporary file, so that no text is too long for the sample. Once learned, a bucket's vector only ever meets
 the layer's weights, so scoring folds the two into one number a bucket.
 """
 
 from __future__ import annotations
 
+import os
+import tempfile
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -19,10 +23,9 @@ BUCKETS_LOG2, DIM = 16, 8
 GRAMS = (3, 4, 5)
 #: Kinds of features: each counts alike in a document's average, however many features it has.
 GROUPS = len(GRAMS) + 2
-#: Labelled rows that a model is fitted on, at most.
+#: Labelled ids that a model is fitted on, at most, in the order of a hash. A row takes 6 bytes for each of its buckets (2 ** BUCKETS_LOG2
+#: of each kind at most) in the driver's temporary file, however long its text.
 SAMPLE_ROWS = 3_000
-#: Of those rows' text, so many bytes at most are held by the driver; rows beyond are left out of the sample.
-SAMPLE_BYTES = 32_000_000
 EPOCHS, RATE, BATCH = 8, 2.0, 32
 #: Steps at least: a small sample is gone through more often.
 STEPS = 750
@@ -114,17 +117,39 @@ def rows_of(texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
     return out
 
 
-def train(texts: list[str | None], labels: np.ndarray, seed: int = 7) -> tuple[np.ndarray, float]:
-    """Stochastic gradient descent on the softmax's cross-entropy. Returns what logits() needs: for each bucket
+class Kept:
+    """rows_of() of many texts, in an unnamed temporary file."""
+
+    def __init__(self):
+        self.file, self.places, self.end = tempfile.TemporaryFile(buffering=0), [], 0
+
+    def __len__(self):
+        return len(self.places)
+
+    def add(self, ids: bytes, share: bytes) -> None:
+        for part in (memoryview(ids), memoryview(share)):
+            while len(part):
+                part = part[self.file.write(part) :]
+        self.places.append((self.end, len(ids), len(share)))
+        self.end += len(ids) + len(share)
+
+    def __getitem__(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+        at, ids, share = self.places[k]
+        return np.frombuffer(os.pread(self.file.fileno(), ids, at), np.uint16), np.frombuffer(os.pread(self.file.fileno(), share, at + ids), np.float32)
+
+
+def train(rows, labels: np.ndarray, seed: int = 7) -> tuple[np.ndarray, float]:
+    """Stochastic gradient descent on the softmax's cross-entropy. rows: of rows_of(), by number. Returns what logits() needs: for each bucket
     its vector times the difference of the layer's two rows, and the difference of the two constants."""
     rng, size = np.random.default_rng(seed), 1 << BUCKETS_LOG2
-    if len(texts) == 0 or labels.min() == labels.max():
-        rate = (labels.sum() + 1) / (len(labels) + 2)
-        return np.zeros(size, np.float32), float(np.log(rate / (1 - rate)))
+    if len(rows) == 0:
+        return np.zeros(size, np.float32), 0.0
+    if labels.min() == labels.max():
+        raise ValueError(f"the quality model's sample of {len(rows)} rows has no label but {labels.min()}")
     vectors = rng.uniform(-1 / DIM, 1 / DIM, (size, DIM)).astype(np.float32)
     layer, constant = np.zeros((2, DIM), np.float32), np.zeros(2, np.float32)
     layer[0], layer[1] = -0.5, 0.5
-    rows, each, done = rows_of(texts), -(-len(texts) // BATCH), 0
+    each, done = -(-len(rows) // BATCH), 0
     epochs = max(EPOCHS, -(-STEPS // each))
     steps = epochs * each
     for _ in range(epochs):
@@ -133,9 +158,10 @@ def train(texts: list[str | None], labels: np.ndarray, seed: int = 7) -> tuple[n
             batch = order[at : at + BATCH]
             rate = RATE * (1 - done / steps)
             done += 1
-            ids = np.concatenate([rows[k][0] for k in batch])
-            share = np.concatenate([rows[k][1] for k in batch])
-            owner = np.repeat(np.arange(len(batch)), [len(rows[k][0]) for k in batch])
+            some = [rows[k] for k in batch]
+            ids = np.concatenate([x[0] for x in some])
+            share = np.concatenate([x[1] for x in some])
+            owner = np.repeat(np.arange(len(batch)), [len(x[0]) for x in some])
             weighted = vectors[ids] * share[:, None]
             hidden = np.zeros((len(batch), DIM), np.float32)
             for d in range(DIM):
@@ -154,13 +180,21 @@ def train(texts: list[str | None], labels: np.ndarray, seed: int = 7) -> tuple[n
 
 
 def fit(docs: DataFrame, labels: DataFrame, modulus: int = 4, held: int = 2, rows: int = SAMPLE_ROWS) -> tuple[np.ndarray, float]:
-    texts, ys, held_bytes = [], [], 0
-    for r in sample(docs, labels, "quality", modulus, held, rows).toLocalIterator():
-        held_bytes += len(r["text"] or "")
-        if held_bytes > SAMPLE_BYTES:
-            break
-        texts.append(r["text"]), ys.append(r["y"])
-    return train(texts, np.array(ys, int))
+    """Learned from the labelled rows outside the held-out split. Without labels or documents every score is 0.5;
+    labels that none of the documents has, or of one class alone, are an error."""
+
+    def featured(batches):
+        for batch in batches:
+            for text, y in zip(batch.column(0), batch.column(1)):
+                ids, share = rows_of([text.as_py()])[0]
+                yield pa.RecordBatch.from_arrays([pa.array([y.as_py()], pa.int32()), pa.array([ids.astype(np.uint16).tobytes()], pa.binary()), pa.array([share.tobytes()], pa.binary())], names=["y", "ids", "share"])
+
+    kept, ys = Kept(), []
+    for r in sample(docs, labels, "quality", modulus, held, rows).mapInArrow(featured, "y int, ids binary, share binary").toLocalIterator():
+        kept.add(r["ids"], r["share"]), ys.append(r["y"])
+    if not ys and not docs.isEmpty() and not labels.isEmpty():
+        raise ValueError("the quality model's sample is empty: no document outside the held-out split has a label")
+    return train(kept, np.array(ys, int))
 
 
 def where(docs: DataFrame, model: tuple[np.ndarray, float], keep) -> DataFrame:

@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from termloom.llm import quality_model as q, toxicity as t
 
@@ -101,3 +102,31 @@ def test_where_keeps_columns(spark, toxic):
     assert kept.columns == docs.columns and 600 < kept.count() < 750
     model = (np.zeros(1 << q.BUCKETS_LOG2, np.float32), 1.0)
     assert q.where(docs, model, lambda s: s >= 0.7).count() == docs.count()
+
+
+def test_quality_sample_is_not_cut_by_length(spark):
+    rng, labelled = random.Random(8), "doc_id long, quality int, toxic int"
+    rows = [(i, " ".join(words(rng, 60)) if i % 2 else "%%% !!! " * 60, None, "x") for i in range(80)]
+    first = next(i for i in range(80, 200) if not held(i, 4, 2))
+    huge = spark.range(1).select(F.lit(first).cast("long").alias("doc_id"), F.expr("repeat('word ', 6500000)").alias("text"), F.lit(None).cast("double").alias("score"), F.lit("x").alias("label"))
+    docs = huge.union(spark.createDataFrame(rows, DOCS))  # over 32 million characters lie in front
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(80)] + [(first, 0, 0)], labelled)
+    weights, bias = q.fit(docs, labels)
+    z = q.logits([rows[1][1], rows[2][1]], weights, bias)
+    assert weights.any() and z[0] > 1 and z[1] < -1
+
+
+def test_quality_sample_must_have_both_classes(spark, toxic):
+    docs, _, _ = toxic
+    for labels in ([(i, 1, 0) for i in range(50)], [(5000, 1, 0), (5001, 0, 0)]):
+        with pytest.raises(ValueError, match="sample"):
+            q.fit(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+
+
+def test_pipeline_does_not_drop_all_for_want_of_labels(spark, toxic, tmp_path):
+    import corpus_pipeline
+
+    docs, labels, _ = toxic
+    labels.limit(0).write.parquet(f"{tmp_path}/labels.parquet")
+    with pytest.raises(ValueError, match="no labels"):
+        corpus_pipeline.keep_quality(spark, docs, str(tmp_path))
