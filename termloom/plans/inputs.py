@@ -28,14 +28,19 @@ TURNS_SQL = """
   WHERE role = 'user' AND next_role = 'assistant'"""
 
 
-def safe_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+def whole_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """conversation_turns() with actions made plain commands (`echo` and letters), observations in plain letters."""
     t = conversation_turns(spark, sf_dir)
     plain = [F.trim(F.regexp_replace(F.lower(c), "[^a-z0-9]+", " ")) for c in ("action", "observation")]
-    action = F.concat(F.lit("echo "), F.coalesce(F.nullif(F.trim(F.substring(plain[0], 1, 60)), F.lit("")), F.lit("x")))
+    action = F.concat(F.lit("echo "), F.coalesce(F.nullif(plain[0], F.lit("")), F.lit("x")))
     return t.select("file_id", "turn_id", action.alias("action"), plain[1].alias("observation"))
 
 
+def safe_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """whole_turns() with 60 characters of each action, as in SAFE_SQL."""
+    return whole_turns(spark, sf_dir).withColumn("action", F.trim(F.substring("action", 1, len("echo ") + 60)))
+
+
 SAFE_SQL = f"""
   SELECT file_id, turn_id,
     'echo ' || coalesce(nullif(trim(substr(trim(regexp_replace(lower(action), '[^a-z0-9]+', ' ', 'g')), 1, 60)), ''), 'x') AS action,
@@ -45,10 +50,10 @@ SAFE_SQL = f"""
 PROMPT = "u@h:~$ "
 
 
-def synthetic_casts(spark: SparkSession, sf_dir: str, version: int) -> DataFrame:
-    """Recordings of safe_turns(), a file's text in each row: prompt, typed command (not in version 1), echo,
+def synthetic_casts(spark: SparkSession, sf_dir: str, version: int, made=whole_turns) -> DataFrame:
+    """Recordings of whole_turns(), a file's text in each row: prompt, typed command (not in version 1), echo,
     observation, prompt. A quarter of a second passes between events."""
-    t = safe_turns(spark, sf_dir)
+    t = made(spark, sf_dir)
 
     def quoted(c):
         return F.concat(F.lit('"'), F.replace(F.replace(F.replace(c, F.lit("\\"), F.lit("\\\\")), F.lit("\r"), F.lit("\\r")), F.lit("\n"), F.lit("\\n")), F.lit('"'))

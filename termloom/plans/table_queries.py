@@ -203,8 +203,8 @@ def event_sessions(spark, d):
 
 
 def roundtrip(version: int):
-    def query(spark, d):
-        found = turns.extract_turns(casts.with_events(casts.with_version(i.synthetic_casts(spark, d, version))))
+    def query(spark, d, made=i.safe_turns):
+        found = turns.extract_turns(casts.with_events(casts.with_version(i.synthetic_casts(spark, d, version, made))))
         t = found.select(F.col("stem").cast("long").alias("file_id"), F.explode("turns").alias("x"))
         action, seen = F.col("x.content"), F.col("x.observation")
         # what is left of the echo and the next prompt

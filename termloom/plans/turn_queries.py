@@ -80,9 +80,9 @@ def rule_summary(spark, d):
 RULE = f"SELECT file_id, n_turns, similarity FROM (SELECT *, CASE WHEN file_id % 7 <> 0 THEN 1 - (file_id % 10) / 100.0 END::DOUBLE AS similarity FROM ({VERSIONS})) WHERE n_turns >= 2 AND coalesce(similarity, 0) > 0.95"
 
 
-def _text_turns(spark, d):
+def _text_turns(spark, d, made):
     """A file's turns as text with prompts, and its lines."""
-    t = i.safe_turns(spark, d)
+    t = made(spark, d)
     body = F.concat(F.lit(i.PROMPT), "action", F.lit("\n"), "observation")
     many = t.groupBy("file_id").agg(F.array_sort(F.collect_list(F.struct("turn_id", body.alias("b")))).alias("p"))
     return many.select("file_id", F.concat(F.lit("start\n"), F.array_join(F.transform("p", lambda x: x["b"]), "\n")).alias("text"))
@@ -92,8 +92,8 @@ TEXTS = f"SELECT file_id, 'start' || chr(10) || string_agg('{i.PROMPT}' || actio
 LINES = f"SELECT file_id, unnest(l) AS line, unnest(range(1, len(l) + 1)) AS line_no FROM (SELECT file_id, string_split(text, chr(10)) AS l FROM ({TEXTS}))"
 
 
-def line_segmentation(spark, d):
-    rows = segment.lines(_text_turns(spark, d))
+def line_segmentation(spark, d, made=i.safe_turns):
+    rows = segment.lines(_text_turns(spark, d, made))
     patterns = rows.sparkSession.createDataFrame([(-1, ["x"])], "file_id long, patterns array<string>")
     learned = rows.select("file_id").distinct().select("file_id", F.array(F.lit("["), F.lit(r"\w+@\w+:\S*\$ ")).alias("patterns")).unionByName(patterns)
     found = segment.candidates(rows, learned)
@@ -102,8 +102,8 @@ def line_segmentation(spark, d):
     return turns.select("file_id", F.col("turn_id").cast("long").alias("turn_id"), F.coalesce("prompt", F.lit("")).alias("prompt"), "raw_text")
 
 
-def prompt_context(spark, d):
-    rows = segment.context(segment.lines(_text_turns(spark, d)))
+def prompt_context(spark, d, made=i.safe_turns):
+    rows = segment.context(segment.lines(_text_turns(spark, d, made)))
     return rows.where(F.col("line").startswith(i.PROMPT)).select("file_id", F.col("line_no").cast("long").alias("line_no"), "line", "prev_line", "next_line")
 
 
@@ -112,8 +112,8 @@ def merge_prompts(spark, d):
     return segment.merged_prompts(t).select("file_id", "turn_id", "output")
 
 
-def observation_recovery(spark, d):
-    t = i.safe_turns(spark, d)
+def observation_recovery(spark, d, made=i.safe_turns):
+    t = made(spark, d)
     turns = t.select("file_id", "turn_id", F.lit(i.PROMPT).alias("prompt"), F.concat(F.lit(i.PROMPT), "action", F.lit("\n"), "observation").alias("raw_text"))
     told = t.where("turn_id % 2 = 0").select("file_id", "turn_id", F.array(F.when(F.col("turn_id") % 4 == 0, F.lit("other")).otherwise(F.col("action"))).alias("action_lines"), F.array(F.lit("seen"), F.lit(" "), F.lit("too")).alias("observation_lines"))
     return segment.classified(turns, told).select("file_id", "turn_id", "action", "observation", "prefix_matched")
@@ -160,8 +160,8 @@ QUICK = f"""
   SELECT file_id, turn_id, round(CASE WHEN length(action) + length(observation) = 0 THEN 1.0 ELSE 2.0 * coalesce(shared, 0) / (length(action) + length(observation)) END, 6)::DOUBLE AS ratio FROM t LEFT JOIN s USING (file_id, turn_id)"""
 
 
-def command_match_ratio(spark, d):
-    t = i.safe_turns(spark, d)
+def command_match_ratio(spark, d, made=i.safe_turns):
+    t = made(spark, d)
     a = t.where("turn_id % 2 = 1").select("file_id", F.col("action").alias("command"))
     b = t.select("file_id", F.substring("action", 1, 12).alias("command"))
     return verify.command_match_rows(a, b).select("file_id", "total", "matched", F.round("ratio", 6).alias("ratio"))
@@ -173,8 +173,8 @@ MATCH = f"""
   FROM (SELECT b.file_id, EXISTS (SELECT 1 FROM a WHERE a.file_id = b.file_id AND (contains(b.c, a.o) OR contains(a.o, b.c))) AS hit FROM b) GROUP BY file_id"""
 
 
-def ansi_clean(spark, d):
-    t = i.safe_turns(spark, d)
+def ansi_clean(spark, d, made=i.safe_turns):
+    t = made(spark, d)
     dirty = F.concat(F.lit("\x1b]0;title\x07\x1b[1;32m"), "action", F.lit("\x1b[0m\x1b(B\x1b=\x07\r\n\x1b[?25h\x1b]2;t\x1b\\"), "observation", F.lit("\x1b[K"))
     plain = F.concat(F.lit("\x1b[1m"), "action", F.lit("\x1b[0m\x1b7"))
     return t.select("file_id", "turn_id", tx.clean_output(dirty).alias("shown"), tx.clean_ansi(plain).alias("plain"), tx.clean_plain_command(F.concat(F.lit("me@box:~/x$ "), "action")).alias("command"))
@@ -199,8 +199,8 @@ def reconstruct(spark, d):
     return many.select("file_id", session_text(F.lit("$"), "turns").alias("text"), session_text(F.lit("$"), "turns", 1).alias("text_v1"))
 
 
-def prompt_json(spark, d):
-    t = i.safe_turns(spark, d)
+def prompt_json(spark, d, made=i.safe_turns):
+    t = made(spark, d)
     many = t.groupBy("file_id").agg(F.array_sort(F.collect_list(F.struct("turn_id", F.lit("command").alias("type"), F.col("action").alias("content"), "observation"))).alias("turns"))
     return many.select("file_id", curate.prompt_turns().alias("session"))
 
@@ -210,8 +210,8 @@ QUERIES = {
     "command_confidence": scored,
     "likely_output_flags": lambda s, d: i.conversation_turns(s, d).select("file_id", "turn_id", h.is_output("action").alias("is_output")),
     "confidence_filter": lambda s, d: scored(s, d).where("confidence >= 0.3").groupBy("valid").agg(F.count("*").alias("n"), F.round(F.avg("confidence"), 6).alias("mean")),
-    "interactive_detect": lambda s, d: i.safe_turns(s, d).select("file_id", "turn_id", h.interactive_program(F.concat(F.when(F.col("turn_id") % 3 == 0, "/usr/bin/vim ").when(F.col("turn_id") % 3 == 1, "ssh ").otherwise(""), F.col("action"))).alias("program")),
-    "heredoc_detect": lambda s, d: i.safe_turns(s, d).select("file_id", "turn_id", h.heredoc_delimiter(F.concat(F.lit("cat <<"), F.when(F.col("turn_id") % 2 == 0, " 'EOF'\nbody\n").otherwise("-X y"))).alias("delimiter")),
+    "interactive_detect": lambda s, d: i.whole_turns(s, d).select("file_id", "turn_id", h.interactive_program(F.concat(F.when(F.col("turn_id") % 3 == 0, "/usr/bin/vim ").when(F.col("turn_id") % 3 == 1, "ssh ").otherwise(""), F.col("action"))).alias("program")),
+    "heredoc_detect": lambda s, d: i.whole_turns(s, d).select("file_id", "turn_id", h.heredoc_delimiter(F.concat("action", F.lit(" <<"), F.when(F.col("turn_id") % 2 == 0, " 'EOF'\nbody\n").otherwise("-X y"))).alias("delimiter")),
     "export_simplify": export_simplify,
     "turn_report": turn_report,
     "report_by_version": lambda s, d: reports.by_version(_versions(s, d)),
