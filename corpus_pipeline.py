@@ -4,7 +4,8 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last
 run() writes each stage's result as Parquet in the shared folder and reads it for the next.
 
 Rows whose text is null pass the first two stages by their models' score of an empty text, are no duplicates, and
-are packed as an empty text. Rows that repeat a doc_id with one text leave one row after near_duplicates.
+are packed as an empty text. near_duplicates decides row by row: of a group one row stays, whatever ids its rows have or lack, and of
+rows without words one for each doc_id and text (all of them, where they lack an id).
 """
 
 from __future__ import annotations
@@ -31,11 +32,19 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates (five words, similarity 0.8) the document of the smallest id stays."""
-    found = near_dups.near_duplicates(docs, 5, 80)
-    gone = found.where(~F.col("kept")).select("doc_id").distinct()
-    one = docs.join(gone, "doc_id", "left_anti")
-    known, unknown = one.where(F.col("doc_id").isNotNull()), one.where(F.col("doc_id").isNull())
-    return known.dropDuplicates(["doc_id", "text"]).unionByName(unknown).select(*docs.columns)
+    rows = materialise(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    found = near_dups.near_duplicates(rows.select(F.col("_row").alias("doc_id"), "text"), 5, 80)
+    ids = rows.select("_row", "doc_id", F.when(F.btrim("text", F.lit(" \t\r\n")) == "", F.col("text")).alias("blank"))
+    known = ids.join(found.select(F.col("doc_id").alias("_row"), "n_shingles", "component_id"), "_row")
+    worded = F.col("n_shingles") > 0
+    key = [
+        F.when(worded, F.col("component_id")).alias("a"),
+        F.when(~worded, F.col("doc_id")).alias("b"),
+        F.when(~worded, F.col("blank")).alias("c"),
+        F.when(~worded & F.col("doc_id").isNull(), F.col("_row")).alias("d"),
+    ]
+    first = known.groupBy(*key).agg(F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "_row")).alias("first"))
+    return rows.join(first.select("first._row"), "_row", "left_semi").select(*docs.columns)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

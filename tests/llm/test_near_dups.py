@@ -86,3 +86,14 @@ def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 200), (300, 200), (7, 7)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(41)}, 100: 100, 200: 100, 300: 100}
+
+
+def test_pipeline_keeps_one_row_of_each_group(spark):
+    from corpus_pipeline import drop_near_duplicates
+
+    one, two, three = (" ".join(f"{c}{i}" for i in range(30)) for c in "abc")
+    # id 5 has two texts: one is a copy of id 1's, the other heads a group of its own
+    rows = [(1, one), (5, one), (5, two), (9, two), (None, two), (None, three), (None, three), (None, three + " more"), (None, None), (None, None), (7, ""), (7, ""), (7, None), (8, " ")]
+    kept = drop_near_duplicates(spark, spark.createDataFrame(rows, SCHEMA), "").collect()
+    assert sorted(((r.doc_id, r.text) for r in kept if r.text not in (three, three + " more")), key=str) == sorted([(1, one), (5, two), (None, None), (None, None), (7, ""), (7, None), (8, " ")], key=str)
+    assert sum((r.text or "").startswith(three) for r in kept) == 1
