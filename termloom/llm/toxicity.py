@@ -129,13 +129,25 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1, steps: int = 40)
 DEFAULT_CURVE = np.array([-4.0, 1.5, 1.0])
 
 
+#: A term's log odds, log-likelihood ratio and share of positive texts at least; texts labelled 1 that hold it at least.
+ODDS, SURE, SHARE, SEEN = 2.5, 11, 0.7, 4
+
+
+def eligible(terms: DataFrame, positives: int, negatives: int) -> DataFrame:
+    """The terms that choose() can take: its tests of a single term, a rounding error wider."""
+    pos, neg, rate = F.col("pos"), F.col("neg"), positives / max(positives + negatives, 1)
+    odds = F.log((pos + 0.5) / (positives + 1)) - F.log((neg + 0.5) / (negatives + 1))
+    sure = pos * F.log(pos / (pos + neg) / max(rate, 1e-9)) + F.when(neg > 0, neg * F.log(neg / (pos + neg) / max(1 - rate, 1e-9))).otherwise(0.0)
+    return terms.where((pos >= SEEN) & (odds >= ODDS - 1e-6) & (sure >= SURE - 1e-6) & (pos >= SHARE * (pos + neg) - 1e-6))
+
+
 def choose(rows: list[tuple[str, int, int]], positives: int, negatives: int) -> dict[str, float]:
     """rows: term, texts labelled 1 and 0 that hold it. A stem is taken only where shorter ones don't do."""
     rate, chosen = positives / max(positives + negatives, 1), {}
     for term, pos, neg in sorted(rows, key=lambda r: (len(r[0].rstrip()), len(r[0]), r[0])):
         odds = math.log((pos + 0.5) / (positives + 1)) - math.log((neg + 0.5) / (negatives + 1))
         sure = pos * math.log((pos / (pos + neg)) / max(rate, 1e-9)) + (neg * math.log((neg / (pos + neg)) / max(1 - rate, 1e-9)) if neg else 0)
-        if odds < 2.5 or sure < 11 or pos < 0.7 * (pos + neg):
+        if odds < ODDS or sure < SURE or pos < SHARE * (pos + neg):
             continue
         stem = term.rstrip()
         if any(stem[:k] in chosen and stem[:k] != stem for k in range(5, len(stem) + 1)) or (term != stem and stem in chosen):
@@ -181,8 +193,7 @@ def fit(docs: DataFrame, labels: DataFrame, modulus: int = 3, held: int = 1, row
     weights = {f" {w} ": v for w, v in LEXICON.items()}
     if not positives or not negatives:
         return weights, DEFAULT_CURVE
-    some = terms.where((F.col("pos") >= 4) & (F.col("pos") > F.col("neg"))).orderBy(F.desc(F.expr("pos - neg")), "term").limit(4 * LEARNED)
-    weights |= choose([tuple(r) for r in some.collect()], positives, negatives)
+    weights |= choose([tuple(r) for r in eligible(terms, positives, negatives).collect()], positives, negatives)
     found = measure(taken.select(F.col("y").cast("long").alias("doc_id"), "text"), weights).select("doc_id", "total", "n_words").toPandas()
     y = found["doc_id"].to_numpy(float)
     return weights, logistic(features(found["total"].to_numpy(float), found["n_words"].to_numpy(float)), y)

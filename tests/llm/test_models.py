@@ -130,3 +130,17 @@ def test_pipeline_does_not_drop_all_for_want_of_labels(spark, toxic, tmp_path):
     labels.limit(0).write.parquet(f"{tmp_path}/labels.parquet")
     with pytest.raises(ValueError, match="no labels"):
         corpus_pipeline.keep_quality(spark, docs, str(tmp_path))
+
+
+def test_common_words_do_not_crowd_out_telling_ones(spark, monkeypatch):
+    monkeypatch.setattr(t, "LEARNED", 5)
+    rng, rows, labels = random.Random(9), [], []
+    common = ["".join(rng.choice("abcdefgh") for _ in range(7)) for _ in range(60)]  # in more of the toxic texts, but telling little
+    for i in range(600):
+        y = i % 2
+        w = [c for c in common if rng.random() < (0.7 if y else 0.4)] + ["zorgul"] * (i % 14 == 1)
+        rng.shuffle(w)
+        rows.append((i, " ".join(w), None, "x"))
+        labels.append((i, 1, y))
+    weights, _ = t.fit(spark.createDataFrame(rows, DOCS), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    assert any(term.startswith(" zorg") for term in weights)
