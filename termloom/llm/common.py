@@ -4,7 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
@@ -13,9 +17,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share (spark.checkpoint.dir); a temporary one only where that is unset."""
+    """The folder all executors share (spark.checkpoint.dir). Where it is unset a temporary one will do only if
+    driver and executors are one process."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         path = "file://" + tempfile.mkdtemp(prefix="termloom-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
@@ -29,13 +37,33 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write df to the shared folder and read it back: cuts lineage and survives lost executors."""
     path = scratch(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete what materialise() wrote, once nothing that is still to run reads it."""
+    for df in tables:
+        context = df.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(df.scratch_path)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def parts(batch: pa.RecordBatch, column: int, rows: int, size: int = 8_000_000) -> Iterator[pa.RecordBatch]:
+    """Slices of at most `rows` rows whose texts hold at most `size` bytes (or one row)."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    at, before = 0, 0
+    while at < batch.num_rows:
+        upto = min(at + rows, max(at + 1, int(np.searchsorted(ends, before + size, side="right"))), batch.num_rows)
+        yield batch.slice(at, upto - at)
+        at, before = upto, int(ends[upto - 1])
+
+
 def in_split(doc_id, modulus: int, held: int):
     """True for the held-out rows: crc32 of the decimal id, modulo modulus, equals held. A null id is not held out."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % F.lit(modulus) == F.lit(held), F.lit(False))

@@ -17,8 +17,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
-from .common import materialise, partitions, table
-from .word_tokens import IdEncoder
+from .common import discard, materialise, partitions, parts, table
+from .word_tokens import encoder, ranked
 
 #: More simplex steps than this are not taken; the basis is feasible at every step.
 MAX_PIVOTS = 4000
@@ -27,16 +27,17 @@ MAX_PIVOTS = 4000
 def pieces(docs: DataFrame, path: str, capacity: int = 1024, end_id: int = 0, with_ids: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens (and ids, binary little-endian).
 
-    Null or empty text: one piece, the end id alone. Rows that repeat are packed as often as they occur."""
+    Null or empty text: one piece, the end id alone. Rows that repeat are packed as often as they occur; a null id is kept. A long
+    text makes many pieces; other columns are not looked at, whatever their names. An empty table has no pieces."""
+    by_ranks = ranked(path)
 
     def run(batches):
-        encoder = IdEncoder(path)
+        ids_of = encoder(path, by_ranks)
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
+            for part in parts(batch, 1, 1000):
                 which, start, size, crc, total, ids = [], [], [], [], [], []
-                for k, raw in enumerate(encoder.encode(part.column(1).to_pylist())):
+                for k, raw in enumerate(ids_of.encode(part.column(1).to_pylist())):
                     raw += end
                     n = len(raw) // 4
                     for s in range(0, n, capacity):

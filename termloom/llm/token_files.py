@@ -20,8 +20,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
-from .common import partitions, scratch, table
-from .word_tokens import IdEncoder
+from .common import partitions, parts, scratch, table
+from .word_tokens import encoder, ranked
 
 MAGIC = b"TLMIX01\n"
 SLOTS = 10  # bits of a block's table of predictions
@@ -250,13 +250,16 @@ def write(docs: DataFrame, path: str, vocabulary: str, end_id: int = 2, file_tok
 
     `path` gets a Parquet dataset whose rows are files in this module's format, ordered by (part, seq): so the
     files of a task appear only when the task is committed, on whatever store Spark writes to. A file
-    holds whole documents and about file_tokens ids at most (or one larger document)."""
+    holds whole documents and about file_tokens ids at most (or one larger document). Rows of one id are ordered by
+    their texts' hash, then by text (nulls first); such rows all go to one task, through which they stream. Other columns are
+    not looked at, whatever their names; an empty table gives no file."""
+    by_ranks = ranked(vocabulary)
 
     def run(batches):
         from pyspark import TaskContext
 
         part, seq = TaskContext.get().partitionId(), 0
-        encoder, end = IdEncoder(vocabulary), np.array([end_id], "<u4").tobytes()
+        ids_of, end = encoder(vocabulary, by_ranks), np.array([end_id], "<u4").tobytes()
         doc_ids, raws, held = [], [], 0
 
         def flush():
@@ -267,9 +270,8 @@ def write(docs: DataFrame, path: str, vocabulary: str, end_id: int = 2, file_tok
             return row
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                rows = batch.slice(at, 500)
-                for doc_id, raw in zip(rows.column(0).to_pylist(), encoder.encode(rows.column(1).to_pylist())):
+            for rows in parts(batch, 1, 500):
+                for doc_id, raw in zip(rows.column(0).to_pylist(), ids_of.encode(rows.column(1).to_pylist())):
                     if held and held + len(raw) // 4 + 1 > file_tokens:
                         yield flush()
                     doc_ids.append(doc_id), raws.append(raw + end)
@@ -278,7 +280,8 @@ def write(docs: DataFrame, path: str, vocabulary: str, end_id: int = 2, file_tok
             yield flush()
 
     spark = docs.sparkSession
-    ordered = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).repartitionByRange(partitions(spark), "doc_id").sortWithinPartitions("doc_id")
+    ordered = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).repartitionByRange(partitions(spark), "doc_id")
+    ordered = ordered.sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
     ordered.mapInArrow(run, FILE_SCHEMA).write.parquet(path)
 
 

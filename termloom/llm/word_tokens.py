@@ -1,19 +1,33 @@
 """Ids of a byte-level vocabulary file of the tokenizers library.
 
-The file is read with that library. Texts are then encoded by tiktoken from the very same vocabulary, which
-gives the same ids in a quarter of the time (ids of such a vocabulary ascend in the order of its merges,
-so that they serve as ranks). Each batch has one text encoded by both; were they ever to differ, or the
-file not be of that kind, the task goes on with the tokenizers library alone.
+The file is read with that library. Where the vocabulary's own rules make both give the same ids (see
+ranked()), texts are encoded by tiktoken from the same vocabulary in a quarter of the time; any other file is
+encoded by the tokenizers library itself.
 """
 
 from __future__ import annotations
 
+import functools
+import json
 import os
 import re
 from array import array
 
 #: Runs of white space that a backtracking pattern may give up on.
 LONG_RUN = re.compile(r"\s{5000}")
+#: White space as the pre-tokeniser's pattern has it.
+SPACE = "".join(map(chr, (*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
+#: A run of white space and what follows it. A pre-token ends wherever a character that is no white space stands before
+#: one that is, and what lies between two such places is pre-tokenised as in the whole text.
+PIECES = re.compile(f"[{SPACE}]*[^{SPACE}]+")
+
+
+def pieces(text: str) -> list[str]:
+    bare = text.rstrip(SPACE)
+    found = PIECES.findall(bare)
+    if len(bare) < len(text):
+        found.append(text[len(bare) :])
+    return found
 
 
 def byte_of() -> dict[str, int]:
@@ -23,42 +37,103 @@ def byte_of() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(0x100 + k): b for k, b in enumerate(hidden)}
 
 
+def _library(path: str):
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.encode_special_tokens = True
+    return tokenizer
+
+
+@functools.lru_cache(8)
+def ranked(path: str) -> bool:
+    """Whether ids may serve as ranks. So it is if texts are pre-tokenised by the byte-level pattern alone (no normaliser, no
+    space put in front), merges are plain and their products' ids ascend, and the library encodes every token's own bytes
+    as that token. Then, when a pair of neighbours is the one of least id, all merges of less rank inside its span are
+    done, as they are when the token is encoded alone; so the pair is the one that the token's merge names, and
+    both libraries merge the same pairs in the same order."""
+    with open(path, encoding="utf-8") as f:
+        file = json.load(f)
+    model, before = file["model"], file.get("pre_tokenizer") or {}
+    plain = model.get("type", "BPE") == "BPE" and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges"))
+    level = before.get("type") == "ByteLevel" and not before.get("add_prefix_space") and before.get("use_regex", True)
+    if not plain or not level or file.get("normalizer"):
+        return False
+    vocab, merges = model["vocab"], [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+    products = [vocab.get(a + b, -1) for a, b in merges]
+    special = {t["content"] for t in file.get("added_tokens", ())}
+    table = byte_of()
+    tokens = [t for t in vocab if t not in special]
+    if any(a >= b for a, b in zip(products, products[1:])) or not all(c in vocab for c in table) or any(c not in table for t in tokens for c in t):
+        return False
+    if set(tokens) != set(table) | {a + b for a, b in merges} or min(products, default=0) < max(vocab[c] for c in table):
+        return False
+    from tokenizers.models import BPE
+
+    bare = BPE(vocab=vocab, merges=merges)  # without a pre-tokeniser, which would cut some tokens' texts
+    return all([x.id for x in bare.tokenize(t)] == [vocab[t]] for t in tokens)
+
+
+@functools.lru_cache(4)
+def _ranks(path: str):
+    import public_tokenizers
+    import tiktoken
+
+    tokenizer, table = _library(path), byte_of()
+    special = {t.content for t in tokenizer.get_added_tokens_decoder().values()}
+    ranks = {bytes(map(table.__getitem__, t)): i for t, i in tokenizer.get_vocab().items() if t not in special}
+    return tiktoken.Encoding("same", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_ordinary
+
+
+class Kept(dict):
+    """The ids of short pieces, as many as `limit`."""
+
+    def __init__(self, encode, limit: int, longest: int):
+        self.encode, self.limit, self.longest = encode, limit, longest
+
+    def __missing__(self, piece: str) -> bytes:
+        if len(self) >= self.limit:
+            self.clear()
+        found = self.encode(piece)
+        if len(piece) <= self.longest:
+            self[piece] = found
+        return found
+
+
 class IdEncoder:
     """texts -> bytes of little-endian unsigned 32-bit ids. A null text counts as empty; strings of special
-    tokens in a text are ordinary text."""
-
-    def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+    tokens in a text are ordinary text. by_ranks: what ranked() says of the file. Ids of short pieces are kept."""
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.fast = self._fast()
+    def __init__(self, path: str, by_ranks: bool, limit: int = 300_000, longest: int = 32):
+        self.path, self.by_ranks = path, by_ranks
+        self.ids = _ranks(path) if by_ranks else self._by_library
+        self.get = Kept(self._piece, limit, longest).__getitem__
 
-    def _fast(self):
-        import public_tokenizers
-        import tiktoken
+    @functools.cached_property
+    def library(self):
+        return _library(self.path)
 
-        special = {t.content for t in self.tokenizer.get_added_tokens_decoder().values()}
-        table = byte_of()
-        try:
-            ranks = {bytes(map(table.__getitem__, t)): i for t, i in self.tokenizer.get_vocab().items() if t not in special}
-            return tiktoken.Encoding("same", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_to_numpy
-        except (KeyError, ValueError):
-            return None
+    def _by_library(self, text: str) -> list[int]:
+        return self.library.encode(text, add_special_tokens=False).ids
 
-    def whole(self, text: str) -> bytes:
-        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+    def _piece(self, piece: str) -> bytes:
+        if len(piece) > 5000 and LONG_RUN.search(piece):
+            return array("I", self._by_library(piece)).tobytes()
+        return array("I", self.ids(piece)).tobytes()
 
-    def _one(self, text: str) -> bytes:
-        if self.fast is None or len(text) > 5000 and LONG_RUN.search(text):
-            return self.whole(text)
-        return self.fast(text, disallowed_special=()).tobytes()
+    def one(self, text: str | None) -> bytes:
+        if not text:
+            return b""
+        if not self.by_ranks:
+            return array("I", self._by_library(text)).tobytes()
+        return b"".join(map(self.get, pieces(text)))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        out = [self._one(t) if t else b"" for t in texts]
-        probe = next((k for k, t in enumerate(texts) if t and len(t) < 20_000), None)
-        if self.fast is not None and probe is not None and out[probe] != self.whole(texts[probe]):
-            self.fast = None
-            return self.encode(texts)
-        return out
+        return list(map(self.one, texts))
+
+
+@functools.lru_cache(2)
+def encoder(path: str, by_ranks: bool) -> IdEncoder:
+    """One for each Python worker, with what it has kept."""
+    return IdEncoder(path, by_ranks)
