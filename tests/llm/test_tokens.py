@@ -1,5 +1,6 @@
 import base64
 import hashlib
+import json
 import zlib
 
 import numpy as np
@@ -10,7 +11,7 @@ from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
 from termloom.llm import byte_bpe, packing
-from termloom.llm.word_tokens import IdEncoder
+from termloom.llm.word_tokens import IdEncoder, ranked
 
 ROWS = [(1, "The cat. Don't  stop\n\nhere "), (2, None), (3, ""), (4, "é漢字 <|endoftext|> \x00 ok"), (4, "é漢字 <|endoftext|> \x00 ok"), (5, "x" * 3000 + " " + "ab1 " * 900), (None, "no id"), (6, "  \n " * 500)]
 SCHEMA = "doc_id long, text string"
@@ -24,10 +25,10 @@ def plain():
 
 
 @settings(max_examples=150, deadline=None)
-@given(st.lists(st.text(st.sampled_from("abéß漢ªŁ .,!?'1\n\n\t  \x1cs"), max_size=40), max_size=6))
+@given(st.lists(st.text(st.sampled_from("abéß漢ªŁ .,!?'1\n\n\t  \x1cs\x85\u3000\u0301"), max_size=40), max_size=6))
 def test_id_encoder_equals_the_library(texts):
-    e = test_id_encoder_equals_the_library.__dict__.setdefault("e", IdEncoder(P.path("byte_bpe_50k.json")))
-    t = e.tokenizer
+    e = test_id_encoder_equals_the_library.__dict__.setdefault("e", IdEncoder(P.path("byte_bpe_50k.json"), True))
+    t = e.library
     assert [np.frombuffer(x, "<u4").tolist() for x in e.encode(texts)] == [t.encode(x, add_special_tokens=False).ids for x in texts]
 
 
@@ -83,3 +84,44 @@ def test_byte_bpe(spark):
         rows = byte_bpe.encode(docs, path, ("n_tokens", "ids_sha256", "decoded_sha256"), chunk, overlap).collect()
         assert sorted((str(r.doc_id), r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in rows) == want
     assert byte_bpe.encode(spark.createDataFrame([], SCHEMA), path).count() == 0
+
+
+def test_chunks_of_real_size_equal_tiktoken():
+    """Texts that end inside an overlap or a run without boundaries, and runs that many chunks lie in."""
+    path = P.path("byte_bpe_multi_50k.tiktoken")
+    codec, size, overlap = byte_bpe.codec_of(path), byte_bpe.CHUNK, byte_bpe.OVERLAP
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}
+    e = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def by_chunks(text):
+        chunks = []
+        for s in range(0, max(len(text) - overlap, 1), size):
+            x = text[s : s + size + overlap]
+            needed = s and not byte_bpe.IN_STEP.search(x, 0, overlap) or s + len(x) < len(text) and not byte_bpe.IN_STEP.search(x, len(x) - overlap)
+            chunks.append((s, x if needed else None, *byte_bpe.measured(codec, s, x)))
+        return byte_bpe.stitch(codec, chunks)
+
+    texts = ["word " * 6540 + "a" * 300, "a" * 120_000, ("ab " * 9000) + "=" * 40_000 + " x" * 9000]
+    for tail in ("a", "=", "\n", "1", " ", "'re", "x  "):
+        for extra in (0, 1, 2, overlap // 2, overlap - 1, overlap, overlap + 1):
+            texts.append(("word " * 7000)[: 2 * size - 100] + (tail * 2000)[: 100 + extra])
+    for text in texts:
+        assert np.frombuffer(by_chunks(text), "<u4").tolist() == e.encode_ordinary(text)
+
+
+def test_long_texts_through_spark(spark):
+    path = P.path("byte_bpe_multi_50k.tiktoken")
+    texts = ["word " * 6540 + "a" * 300, "word " * 6540 + "\n" * 300, "é" * 50_000]
+    got = byte_bpe.encode(spark.createDataFrame(list(enumerate(texts)), SCHEMA), path, ("n_tokens", "decoded_sha256")).collect()
+    assert {r.doc_id: r.decoded_sha256 for r in got} == {i: hashlib.sha256(t.encode()).hexdigest() for i, t in enumerate(texts)}
+
+
+def test_which_files_ids_may_rank(tmp_path):
+    assert ranked(P.path("byte_bpe_50k.json")) and not ranked(P.path("word_bpe_49k.json"))
+    file = json.load(open(P.path("byte_bpe_50k.json")))
+    swapped = dict(file, model=dict(file["model"], merges=[file["model"]["merges"][1], file["model"]["merges"][0], *file["model"]["merges"][2:]]))
+    for k, other in enumerate((swapped, dict(file, normalizer={"type": "NFC"}))):
+        (tmp_path / f"{k}.json").write_text(json.dumps(other))
+        assert not ranked(str(tmp_path / f"{k}.json"))
+    slow = IdEncoder(str(tmp_path / "1.json"), False)
+    assert slow.encode(["a  b ", None]) == [np.array(slow.library.encode("a  b ", add_special_tokens=False).ids, "<u4").tobytes(), b""]
