@@ -16,7 +16,7 @@ from dataclasses import dataclass
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import partitions, table
+from .common import table
 
 
 def paths(value, at: str = "$") -> set[str]:
@@ -36,7 +36,7 @@ def fingerprint(names: set[str]) -> str:
 @dataclass(frozen=True)
 class Mapping:
     """turns: the list's field, with the fields of role and text in its items; or parts: fields of the record
-    itself, each with its role. `optional` fields may be missing. `roles` renames roles."""
+    itself, each with its role. `optional` fields may be missing."""
 
     name: str
     turns: str | None = None
@@ -45,6 +45,7 @@ class Mapping:
     parts: tuple[tuple[str, str], ...] = ()
     optional: tuple[str, ...] = ()
     context: str | None = None  # a field whose text follows the one before it in parts, after an empty line
+    roles: tuple[tuple[str, str], ...] = ()  # this layout's names of roles, where they are others
 
     def shapes(self) -> list[set[str]]:
         """The path sets that this mapping takes."""
@@ -63,7 +64,8 @@ class Mapping:
 
     def read(self, record: dict) -> list[tuple[str, str]]:
         if self.turns:
-            return [(ROLES.get(str(t[self.role]).lower(), str(t[self.role])), t[self.text] or "") for t in record[self.turns]]
+            names = dict(self.roles)
+            return [(names.get(t[self.role].lower(), t[self.role]), t[self.text] or "") for t in record[self.turns]]
         out = []
         for field, role in self.parts:
             if field in record and (record[field] or field not in self.optional):
@@ -74,12 +76,12 @@ class Mapping:
         return out
 
 
-#: Fixed values. Names that other layouts give the roles.
-ROLES = {"human": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant", "prompter": "user"}
+#: Fixed values. Names that other layouts give the roles; in `messages` a role is what it says.
+ROLES = (("human", "user"), ("gpt", "assistant"), ("bot", "assistant"), ("model", "assistant"), ("prompter", "user"))
 MAPPINGS = (
     Mapping("messages", turns="messages"),
-    Mapping("turns", turns="turns", text="text"),
-    Mapping("conversations", turns="conversations", role="from", text="value"),
+    Mapping("turns", turns="turns", text="text", roles=ROLES),
+    Mapping("conversations", turns="conversations", role="from", text="value", roles=ROLES),
     Mapping("instruction", parts=(("system", "system"), ("instruction", "user"), ("output", "assistant")), optional=("system", "input"), context="input"),
     Mapping("prompt", parts=(("system", "system"), ("prompt", "user"), ("completion", "assistant")), optional=("system",)),
     Mapping("response", parts=(("system_prompt", "system"), ("question", "user"), ("response", "assistant")), optional=("system_prompt",)),
@@ -135,59 +137,126 @@ def parse(formatted: str) -> list[tuple[str, str]]:
 SCHEMA = "id long, layout string, n_turns long, formatted string, loss_starts array<long>, loss_ends array<long>"
 
 
+def understood(record: str | None) -> tuple[str | None, list[tuple[str, str]]]:
+    """The layout's name and the turns of a record in JSON; None and none where it can't be read."""
+    try:
+        value = json.loads(record) if record else None
+        mapping = KNOWN.get(fingerprint(paths(value)))
+    except (ValueError, RecursionError):
+        return None, []
+    return (mapping.name, mapping.read(value)) if mapping else (None, [])
+
+
 def format_records(records: DataFrame) -> DataFrame:
-    """records: id, record (JSON). One row each: SCHEMA's columns. A record that is no JSON, or whose layout
-    isn't known, has a null layout and nothing else. Repeated rows are formatted as often as they occur."""
+    """records: id, record (JSON), and perhaps part. One row each: SCHEMA's columns (and part). A record that is no JSON, is
+    nested too deeply to read, or whose layout isn't known, has a null layout and nothing else; so has a null or empty one.
+    Repeated rows are formatted as often as they occur, a null id stays, other columns are left out, whatever their
+    names, and an empty table gives an empty one. A record is one row, however long its texts."""
+    parted = "part" in records.columns
 
     def run(batches):
         for pdf in batches:
             rows = []
             for i, text in zip(pdf["id"], pdf["record"]):
-                try:
-                    value = json.loads(text) if text else None
-                except ValueError:
-                    value = None
-                mapping = KNOWN.get(fingerprint(paths(value)))
-                if mapping is None:
+                layout, turns = understood(text)
+                if layout is None:
                     rows.append((i, None, None, None, None, None))
                     continue
-                turns = mapping.read(value)
                 formatted, spans = render(turns)
-                rows.append((i, mapping.name, len(turns), formatted, [a for a, _ in spans], [b for _, b in spans]))
-            yield pd.DataFrame(rows, columns=["id", "layout", "n_turns", "formatted", "loss_starts", "loss_ends"]).astype({"id": "Int64", "n_turns": "Int64"})
+                rows.append((i, layout, len(turns), formatted, [a for a, _ in spans], [b for _, b in spans]))
+            out = pd.DataFrame(rows, columns=["id", "layout", "n_turns", "formatted", "loss_starts", "loss_ends"]).astype({"id": "Int64", "n_turns": "Int64"})
+            yield out.assign(part=pdf["part"].to_numpy()) if parted else out
+
+    return records.select(F.col("id").cast("long").alias("id"), "record", *["part"] * parted).mapInPandas(run, SCHEMA + ", part long" * parted)
+
 
-    return records.select(F.col("id").cast("long").alias("id"), "record").mapInPandas(run, SCHEMA)
+DIGESTS = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
 
 
-def digests(formatted: DataFrame) -> DataFrame:
-    """What the formatted texts and masks say, read back: conv_id, n_turns, turns_sha256, loss_chars,
-    loss_sha256, formatted_chars."""
+def digests(formatted: DataFrame, in_order: bool = False) -> DataFrame:
+    """What the formatted texts and masks say, read back: DIGESTS. Rows of no known layout say nothing: they are left out.
+
+    With a column part, a conversation is the rows of one id in the order of part; they are read one after the other, since
+    a hash of all turns needs them so, and only the hash is held. in_order: each partition's rows are so ordered already."""
+    known = formatted.where(F.col("layout").isNotNull())
+    parted = "part" in formatted.columns
+    if parted and not in_order:
+        known = known.repartition("id").sortWithinPartitions("id", "part")
 
     def run(batches):
+        open_, done = None, []
         for pdf in batches:
-            rows = []
-            for i, text, starts, ends in zip(pdf["id"], pdf["formatted"], pdf["loss_starts"], pdf["loss_ends"]):
-                turns = parse(text)
-                loss = "".join(unescape(text[a:b]) for a, b in zip(starts, ends))
-                said = "".join(f"{r}\n{t}\n" for r, t in turns)
-                rows.append((i, len(turns), _sha(said), len(loss), _sha(loss), len(text)))
-            yield pd.DataFrame(rows, columns=["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]).astype({"conv_id": "Int64"})
+            for k, (i, text, starts, ends) in enumerate(zip(pdf["id"], pdf["formatted"], pdf["loss_starts"], pdf["loss_ends"])):
+                i = None if pd.isna(i) else int(i)
+                if open_ is None or not parted or i != open_.id:
+                    if open_ is not None:
+                        done.append(open_.row())
+                    open_ = Reader(i)
+                open_.read(text, starts, ends)
+            if done:
+                yield _digest_rows(done)
+                done = []
+        if open_ is not None:
+            yield _digest_rows([open_.row()])
+
+    return known.select("id", "formatted", "loss_starts", "loss_ends").mapInPandas(run, DIGESTS)
+
 
-    known = formatted.where(F.col("layout").isNotNull()).select("id", "formatted", "loss_starts", "loss_ends")
-    return known.mapInPandas(run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+class Reader:
+    """Reads a conversation's formatted text, piece by piece."""
 
+    def __init__(self, conv_id: int | None):
+        self.id, self.turns, self.loss, self.size = conv_id, 0, 0, 0
+        self.said, self.learned = hashlib.sha256(), hashlib.sha256()
 
-def _sha(text: str) -> str:
-    return hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest()
+    def read(self, text: str, starts, ends) -> None:
+        for role, said in parse(text):
+            self.turns += 1
+            self.said.update(f"{role}\n{said}\n".encode("utf-8", "surrogatepass"))
+        for a, b in zip(starts, ends):
+            piece = unescape(text[a:b])
+            self.loss += len(piece)
+            self.learned.update(piece.encode("utf-8", "surrogatepass"))
+        self.size += len(text)
+
+    def row(self) -> tuple:
+        return self.id, self.turns, self.said.hexdigest(), self.loss, self.learned.hexdigest(), self.size
+
+
+def _digest_rows(rows: list[tuple]) -> pd.DataFrame:
+    return pd.DataFrame(rows, columns=["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]).astype({"conv_id": "Int64"})
+
+
+#: Turns of one record at most, and characters from which on no further turn is added to it.
+PART_TURNS, PART_CHARS = 256, 1_000_000
 
 
 def conversations(turns: DataFrame) -> DataFrame:
-    """Rows conv_id, turn, role, text -> one record per conversation, in the messages layout, turns in order (ties
-    by role and text; a null turn comes first; null text or role: empty)."""
-    row = F.struct(F.col("turn").isNotNull().alias("known"), "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("content"))
-    many = turns.repartition(partitions(turns.sparkSession), "conv_id").groupBy("conv_id").agg(F.sort_array(F.collect_list(row)).alias("m"))
-    messages = F.transform("m", lambda x: F.struct(x["role"].alias("role"), x["content"].alias("content")))
-    return many.select(F.col("conv_id").alias("id"), F.to_json(F.struct(messages.alias("messages"))).alias("record"))
+    """Rows conv_id, turn, role, text -> records in the messages layout: id, part, record. Turns are in order (ties by role and
+    text; a null turn comes first; null text or role: empty). A conversation is one record or several parts in order, so that
+    none, however long, is ever in memory as a whole; its rows go to one task and stream through it. Rows without conv_id
+    are one conversation. Each partition's records are in the order of id and part."""
+
+    def run(batches):
+        now, part, messages, size, rows = None, 0, [], 0, []
+        for pdf in batches:
+            for i, role, text in zip(pdf["conv_id"], pdf["role"], pdf["text"]):
+                i = None if pd.isna(i) else int(i)
+                if messages and (i != now or len(messages) >= PART_TURNS or size >= PART_CHARS):
+                    rows.append((now, part, json.dumps({"messages": messages}, ensure_ascii=False)))
+                    part, messages, size = part + 1 if i == now else 0, [], 0
+                now = i
+                messages.append({"role": role, "content": text})
+                size += len(text)
+            if rows:
+                yield pd.DataFrame(rows, columns=["id", "part", "record"]).astype({"id": "Int64"})
+                rows = []
+        if messages:
+            yield pd.DataFrame([(now, part, json.dumps({"messages": messages}, ensure_ascii=False))], columns=["id", "part", "record"]).astype({"id": "Int64"})
+
+    named = turns.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    ordered = named.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
+    return ordered.select("conv_id", "role", "text").mapInPandas(run, "id long, part long, record string")
 
 
 def _literal(text: str) -> str:
@@ -214,4 +283,4 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text")
     said = "</s>[INST] ok [/INST]"
     more = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
-    return digests(format_records(conversations(turns.unionByName(more))))
+    return digests(format_records(conversations(turns.unionByName(more))), in_order=True)
