@@ -1,9 +1,9 @@
 """Quality rules by repetition coverage.
 
 Words become numbers; polynomial rolling hashes over several n-gram lengths find n-grams that occur more
-than once in a text, and the share of the text's characters inside them (and inside lines that repeat an
-earlier line) is held against a limit for each length. Hash matches are confirmed by rank doubling of exact
-word numbers, so coverage is exact.
+than once in a text, and the share of the text's characters inside them, in all copies, (and inside lines that repeat an
+earlier line) is held against a limit for each length. Wherever two hashes agree the words themselves are
+compared; should they differ, n-grams of that length are told apart by their words alone. So coverage is exact.
 """
 
 from __future__ import annotations
@@ -12,11 +12,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import table
+from .common import parts, table
 
-#: Greatest share of the characters of words that later copies of n-grams of a length may hold. The first copy
-#: doesn't count: a text is not worse for having said a thing once, and short texts may repeat one passage.
-LIMITS = {5: 0.30, 6: 0.29, 7: 0.28, 8: 0.27, 9: 0.26, 10: 0.25}
+#: Greatest share of the characters of words that n-grams of a length which occur twice or more may hold, the first copy
+#: included: below the base rule's half of all words, and less for longer n-grams.
+LIMITS = {5: 0.45, 6: 0.42, 7: 0.39, 8: 0.36, 9: 0.33, 10: 0.30}
 #: The same for all copies of the most frequent n-gram alone (it must occur at least three times to count).
 TOP_LIMITS = {2: 0.20, 3: 0.18, 4: 0.16}
 #: Greatest shares of lines that equal an earlier line, and of the characters in them.
@@ -33,22 +33,24 @@ def roll(ids: np.ndarray, n: int, hashes: dict[int, np.ndarray]) -> np.ndarray:
     return hashes[n]
 
 
-def groups(h: np.ndarray) -> np.ndarray:
-    """How often each position's value occurs."""
-    order = np.argsort(h, kind="stable")
-    s = h[order]
-    edge = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]]))
-    sizes = np.diff(np.append(edge, len(s)))
-    out = np.empty(len(h), np.int64)
-    out[order] = np.repeat(sizes, sizes)
-    return out
+def groups(ids: np.ndarray, n: int, hashes: dict[int, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """For each position, the number of its n-gram's group and how often it occurs."""
 
+    def grouped(h):
+        order = np.argsort(h, kind="stable")
+        fresh = np.concatenate([[True], h[order[1:]] != h[order[:-1]]])
+        return order, fresh
 
-def later(h: np.ndarray) -> np.ndarray:
-    """Positions whose value has occurred before."""
-    order = np.argsort(h, kind="stable")
-    s = h[order]
-    return np.sort(order[1:][s[1:] == s[:-1]])
+    order, fresh = grouped(roll(ids, n, hashes))
+    one, other = order[:-1][~fresh[1:]], order[1:][~fresh[1:]]
+    if any((ids[one + k] != ids[other + k]).any() for k in range(n)):  # a collision: number them by their words
+        exact = np.unique(np.lib.stride_tricks.sliding_window_view(ids, n), axis=0, return_inverse=True)[1].ravel()
+        order, fresh = grouped(exact)
+    edge = np.flatnonzero(fresh)
+    sizes = np.diff(np.append(edge, len(order)))
+    name, times = np.empty(len(order), np.int64), np.empty(len(order), np.int64)
+    name[order], times[order] = np.repeat(np.arange(len(edge)), sizes), np.repeat(sizes, sizes)
+    return name, times
 
 
 def covered(at: np.ndarray, n: int, total: int) -> np.ndarray:
@@ -94,30 +96,20 @@ def measure(text: str | None) -> dict[str, float]:
     out["n_dup_lines"] = dup_lines
     out["dup_line_frac"], out["dup_line_char_frac"] = dup_lines / lines, dup_chars / line_chars
     hashes = {1: (ids + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)}
-    exact = None
-    for k in (3, *TOP_LIMITS, *LIMITS):
-        if n < k:
-            continue
-        if k == 3 and exact is None:
-            v = np.uint64(len(number))
-            exact = groups(ids[:-2] * v * v + ids[1:-1] * v + ids[2:]) if len(number) < 1 << 21 else groups(roll(ids, 3, hashes))
-            at = np.flatnonzero(exact > 1)
-            out["n_repeat_words"] = int(covered(at, 3, n).sum()) if len(at) else 0
+    for k in (3, 2, 4, *LIMITS):  # a longer n-gram that occurs twice holds three words that do
+        if n < k or (k > 3 and not out["n_repeat_words"]):
             continue
-        if k > 3 and not out["n_repeat_words"]:
-            break  # a longer n-gram that occurs twice holds three words that do
-        if k in TOP_LIMITS:
-            often = groups(roll(ids, k, hashes))
-            most = int(often.max())
-            if most >= 3:
-                first = np.flatnonzero(often == most)
-                value = roll(ids, k, hashes)
-                out[f"top_{k}"] = int(chars[covered(first[value[first] == value[first[0]]], k, n)].sum()) / total
-        else:
-            at = later(roll(ids, k, hashes))
-            out[f"dup_{k}"] = int(chars[covered(at, k, n)].sum()) / total if len(at) else 0.0
+        name, times = groups(ids, k, hashes)
+        at = np.flatnonzero(times > 1)
+        if k == 3 and len(at):
+            out["n_repeat_words"] = int(covered(at, 3, n).sum())
+        if k in TOP_LIMITS and (most := int(times.max())) >= 3:
+            first = np.flatnonzero(times == most)
+            out[f"top_{k}"] = int(chars[covered(first[name[first] == name[first[0]]], k, n)].sum()) / total
+        if k in LIMITS:
             if not len(at):
                 break  # nothing longer occurs twice
+            out[f"dup_{k}"] = int(chars[covered(at, k, n)].sum()) / total
     return out
 
 
@@ -137,14 +129,15 @@ SHARES = tuple(k for k in NONE if k not in COUNTS)
 
 def rules(docs: DataFrame, min_words: int = 50, max_repeat_percent: int = 50) -> DataFrame:
     """One row per row of docs: doc_id, counts, shares, base_failed and kept. A null or empty text has no words
-    and fails the base rule. Repeated rows are judged as often as they occur."""
+    and fails the base rule. Repeated rows are judged as often as they occur; a null id stays; other columns are not looked
+    at, whatever their names; an empty table gives an empty one. A very long text is measured whole, in one task: it
+    needs some 150 bytes of memory a word. Of several most frequent n-grams the one that comes first counts."""
     names = [*COUNTS, *SHARES]
     schema = "doc_id long, " + ", ".join(f"{c} long" for c in COUNTS) + ", " + ", ".join(f"{c} double" for c in SHARES) + ", base_failed boolean, kept boolean"
 
     def run(batches):
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
+            for part in parts(batch, 1, 1000):
                 found = [measure(t) for t in part.column(1).to_pylist()]
                 failed = [x["n_words"] < min_words or 100 * x["n_repeat_words"] > max_repeat_percent * x["n_words"] for x in found]
                 kept = [not f and verdict(x) for f, x in zip(failed, found)]

@@ -16,12 +16,9 @@ def brute(text):
     total = sum(map(len, w))
     dup = {}
     for k in r.LIMITS:
-        before, inside = set(), set()
-        for i in range(n - k + 1):
-            g = tuple(w[i : i + k])
-            if g in before:
-                inside |= set(range(i, i + k))
-            before.add(g)
+        grams = [tuple(w[i : i + k]) for i in range(n - k + 1)]
+        times = collections.Counter(grams)
+        inside = {i + j for i, g in enumerate(grams) if times[g] > 1 for j in range(k)}
         dup[k] = sum(len(w[i]) for i in inside) / total if total else 0.0
     return (n, total, sum(c in "#*$%&|<>" for x in w for c in x), len(lines) - len(set(lines)), len(rep)), dup
 
@@ -35,6 +32,13 @@ def test_against_brute_force(parts):
     assert all(abs(got[f"dup_{k}"] - v) < 1e-12 for k, v in dup.items())
 
 
+def test_colliding_hashes_change_nothing(monkeypatch):
+    monkeypatch.setattr(r, "roll", lambda ids, n, hashes: (ids[: len(ids) - n + 1] * r.np.uint64(0)))
+    text = "a b c d e f g a b c x y a b c d e f g b c"
+    got, (counts, dup) = r.measure(text), brute(text)
+    assert tuple(got[c] for c in r.COUNTS) == counts and all(abs(got[f"dup_{k}"] - v) < 1e-12 for k, v in dup.items())
+
+
 def test_rules(spark):
     clean = " ".join(f"w{i}" for i in range(300))
     junk = "the same line over and over again\n" * 60
@@ -48,4 +52,7 @@ def test_rules(spark):
     assert got[1][0].kept and got[None][0].kept and len(got[6]) == 2 and got[7][0].n_repeat_words == 200_000
     assert r.rules(docs.limit(0)).count() == 0
     third = clean + " " + " ".join(f"w{i}" for i in range(140))
-    assert [(x.base_failed, x.kept) for x in r.rules(spark.createDataFrame([(1, third)], "doc_id long, text string")).collect()] == [(True, False)]
+    fifth = clean + " " + " ".join(f"w{i}" for i in range(80))  # 80 words twice, of 380: passes the base rule only
+    tenth = clean + " " + " ".join(f"w{i}" for i in range(30))
+    rows = [(1, third), (2, fifth), (3, tenth)]
+    assert [(x.base_failed, x.kept) for x in r.rules(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).collect()] == [(True, False), (False, False), (False, True)]
