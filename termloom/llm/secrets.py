@@ -1,8 +1,11 @@
 """Secret scans with built-in DataFrame functions alone.
 
-Three kinds of secret are regular expressions. A fourth is a test on what looks like an identifier: two character
-Markov models, of random strings and of ordinary identifiers, trained from labelled samples, are compared by
-their log-likelihood ratio. Positions come from what lies between the matches; nothing is shuffled.
+Three kinds of secret are regular expressions. A fourth is a test on what looks like an identifier, outside of what these
+have found: two character Markov models, of random strings and of ordinary identifiers, trained from labelled samples,
+are compared by their log-likelihood ratio. Positions come from what lies between the matches; nothing is shuffled.
+
+Matches are folded in blocks, and pieces of a text are cut from blocks of it, so that cost grows with a text's length and
+its number of matches, not with their product.
 """
 
 from __future__ import annotations
@@ -44,7 +47,7 @@ WORDS = (
 
 def samples(n: int = 3000, seed: int = 20) -> list[tuple[str, int]]:
     """Labelled strings: 1 random, 0 ordinary. Made by rule: random ones over the sets that keys are written in,
-    ordinary ones from WORDS in the usual ways of joining them."""
+    ordinary ones from WORDS in the usual ways of joining them, and runs of one character."""
     rng, out = random.Random(seed), []
     sets = (ALPHABET[:62], ALPHABET[:64], ALPHABET[26:62], ALPHABET[:26] + ALPHABET[52:62], ALPHABET[:62] + "_-")
     for k in range(n):
@@ -60,6 +63,8 @@ def samples(n: int = 3000, seed: int = 20) -> list[tuple[str, int]]:
         else:
             name = ("_", "-", "/", "_")[style - 1].join(w.upper() if style == 4 else w for w in words)
         out.append((name + number, 0))
+        if k % 8 == 0:
+            out.append((ALPHABET[k // 8 % len(ALPHABET)] * rng.randrange(20, 65), 0))
     return out
 
 
@@ -84,51 +89,96 @@ def coded(ratios: list[list[float]]) -> list[str]:
 def ratio(text: Column, rows: list[str]) -> Column:
     """Mean log-likelihood ratio of a string's transitions."""
     lines = F.array(*[F.lit(r) for r in rows])
+    chars = F.split(text, "")
 
-    def place(i):
-        return F.instr(F.lit(ALPHABET), text.substr(i, F.lit(1)))
-
-    def one(acc, i):
-        return acc + F.ascii(F.element_at(lines, place(i)).substr(place(i + 1), F.lit(1)))
+    def one(a, b):
+        place = F.instr(F.lit(ALPHABET), a)
+        return F.ascii(F.element_at(lines, place).substr(F.instr(F.lit(ALPHABET), b), F.lit(1)))
 
-    total = F.aggregate(F.sequence(F.lit(1), F.length(text) - 1), F.lit(0), one)
+    pairs = F.zip_with(F.slice(chars, 1, F.length(text) - 1), F.slice(chars, 2, F.length(text) - 1), one)
+    total = F.aggregate(pairs, F.lit(0).cast("long"), lambda acc, x: acc + x)
     return (total / (F.length(text) - 1) - F.lit(33)) / F.lit(20.0) - F.lit(2.5)
 
 
 SPANS = "array<struct<start:bigint,rank:int,stop:bigint,kind:string>>"
+#: Matches folded at a time, and characters of a text's blocks.
+FOLD, PIECE = 512, 1024
 
 
 def _none() -> Column:
     return F.array().cast(SPANS)
 
 
+def _once(value: Column, use) -> Column:
+    """use(value), with value computed once, however often and in whatever lambda it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _folded(rows: Column, kind: str, step) -> Column:
+    """What step collects from rows in order. step: (at, x) -> (the next `at`, an array of what it adds). The collected array
+    is copied once for each block of rows, not for each row."""
+    blocks = _once(rows, lambda r: F.transform(F.sequence(F.lit(0), F.greatest(F.size(r) - 1, F.lit(0)), F.lit(FOLD)), lambda at: F.slice(r, at + 1, FOLD)))
+
+    def start(at):
+        return F.struct(at.alias("at"), F.array().cast(f"array<{kind}>").alias("out"))
+
+    def one(acc, x):
+        at, more = step(acc["at"], x)
+        return F.struct(at.cast("long").alias("at"), F.concat(acc["out"], more).alias("out"))
+
+    def block(acc, some):
+        return F.aggregate(some, start(acc["at"]), one, lambda own: F.struct(own["at"].alias("at"), F.concat(acc["out"], own["out"]).alias("out")))
+
+    return F.aggregate(blocks, start(F.lit(0).cast("long")), block, lambda acc: acc["out"])
+
+
 def _found(kind: str, rank: int, text: Column, pattern: str, group: int, least: int, keep=None) -> Column:
     """The spans of a kind's matches in order. keep: a further test of the match."""
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     inner = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else matches
     zipped = F.arrays_zip(F.split(text, pattern, -1), matches, inner)  # fields 0, 1 and 2; what follows the last match has no match
 
-    def step(acc, x):
+    def step(at, x):
         match = x.getField("1")
-        start = acc["at"] + F.length(x.getField("0"))
-        stop = start + F.length(match)
-        good = F.length(x.getField("2")) >= least
+        begin = at + F.length(x.getField("0"))
+        stop = begin + F.length(match)
+        good = match.isNotNull() & (F.length(x.getField("2")) >= least)
         if keep is not None:
             good = good & keep(match)
-        span = F.struct(start.alias("start"), F.lit(rank).alias("rank"), stop.alias("stop"), F.lit(kind).alias("kind"))
-        more = F.struct(stop.alias("at"), F.when(good, F.concat(acc["spans"], F.array(span))).otherwise(acc["spans"]).alias("spans"))
-        return F.when(match.isNull(), acc).otherwise(more)
+        span = F.struct(begin.alias("start"), F.lit(rank).alias("rank"), stop.alias("stop"), F.lit(kind).alias("kind"))
+        return F.coalesce(stop, at), F.when(good, F.array(span)).otherwise(_none())
+
+    return _folded(zipped, SPANS[6:-1], step)
 
-    return F.aggregate(zipped, F.struct(F.lit(0).cast("long").alias("at"), _none().alias("spans")), step, lambda acc: acc["spans"])
 
+def _replaced(text: Column, spans: Column, mark) -> Column:
+    """text with each run of spans (in order; overlapping ones are one) replaced. mark: the number of its characters -> text."""
 
-def spans(docs: DataFrame, labelled: list[tuple[str, int]] | None = None, margin: float = MARGIN, text_col: str = "text") -> DataFrame:
-    """docs with the columns base_spans and spans added (they replace columns of these names): arrays of start,
-    rank, stop (code points, end exclusive), kind, in the order of start and rank.
+    def piece(blocks, a, b):
+        first, last = (a / PIECE).cast("int"), (b / PIECE).cast("int")
+        some = F.array_join(F.slice(blocks, first + 1, last - first + 1), "")
+        return F.when(b > a, some.substr((a - first * PIECE + 1).cast("int"), (b - a).cast("int"))).otherwise("")
 
-    Spans of kind markov are candidates that the models call random, hold a digit and a letter, and lie apart
-    from base spans. A null or empty text has no spans. Nothing depends on other rows, so that repeated rows
-    and any doc_id are fine."""
+    def step(blocks):
+        def one(at, s):
+            stop = F.greatest(at, s["stop"])
+            fresh = F.array(piece(blocks, at, s["start"]), mark(stop - s["start"]))
+            return stop, F.when(s["start"] >= at, fresh).when(stop > at, F.array(mark(stop - at, True))).otherwise(F.array().cast("array<string>"))
+
+        return one
+
+    ends = F.struct(F.length(text).cast("long").alias("start"), F.lit(0).alias("rank"), F.length(text).cast("long").alias("stop"), F.lit("").alias("kind"))
+    blocks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+    return F.array_join(_once(blocks, lambda b: _folded(F.concat(spans, F.array(ends)), "string", step(b))), "")
+
+
+def spans(docs: DataFrame, labelled: list[tuple[str, int]] | None = None, margin: float = MARGIN, text_col: str = "text", names: tuple[str, str] = ("base_spans", "spans")) -> DataFrame:
+    """docs with two columns added (they replace columns of these names): arrays of start, rank, stop (code points, end
+    exclusive), kind, in the order of start and rank. The first holds the base spans, the second all spans.
+
+    Spans of kind markov are candidates that the models call random. What base spans cover is no part of a candidate: a key
+    that touches one is scored by what is left of it. A null or empty text has no spans. Nothing depends on other rows, so
+    that repeated rows, any doc_id and an empty table are fine. A very long text is one row of one task."""
     rows = coded(train(labelled or samples()))
     text, low = F.col("scan text"), F.col("scan low")
     out = docs.withColumn("scan text", F.coalesce(text_col, F.lit("")))
@@ -141,20 +191,14 @@ def spans(docs: DataFrame, labelled: list[tuple[str, int]] | None = None, margin
                 wanted = wanted | low.contains(hint)
         wanted = wanted & text.rlike(pattern)
         out = out.withColumn(f"scan {kind}", F.when(wanted, _found(kind, rank, text, pattern, group, least)).otherwise(_none()))
-    base = F.array_sort(F.concat(*[F.col(f"scan {k}") for k, *_ in BASE]))
-    out = out.withColumn("base_spans", base)
-    found = _found(KIND, len(BASE), text, CANDIDATE, 0, 20, lambda m: m.rlike("[0-9]") & m.rlike("[A-Za-z]"))
-    out = out.withColumn("scan found", F.when(text.rlike(CANDIDATE), found).otherwise(_none()))
-
-    def apart(s):
-        return ~F.exists("base_spans", lambda b: (b["start"] < s["stop"]) & (s["start"] < b["stop"]))
-
-    def random_looking(s):
-        return ratio(F.col("scan text").substr(s["start"].cast("int") + 1, (s["stop"] - s["start"]).cast("int")), rows) >= margin
-
-    more = F.filter(F.filter("scan found", apart), random_looking)
-    out = out.withColumn("spans", F.array_sort(F.concat("base_spans", F.when(F.size("scan found") > 0, more).otherwise(_none()))))
-    return out.drop("scan text", "scan low", "scan found", *[f"scan {k}" for k, *_ in BASE])
+    out = out.withColumn("scan base", F.array_sort(F.concat(*[F.col(f"scan {k}") for k, *_ in BASE])))
+    blank = _replaced(text, F.col("scan base"), lambda n, more=False: F.repeat(F.lit(" "), n.cast("int")))
+    out = out.withColumn("scan rest", F.when(~text.rlike(CANDIDATE), F.lit("")).when(F.size("scan base") > 0, blank).otherwise(text))
+    rest = F.col("scan rest")
+    found = _found(KIND, len(BASE), rest, CANDIDATE, 0, 20, lambda m: ratio(m, rows) >= margin)
+    out = out.withColumn("scan found", F.when(rest.rlike(CANDIDATE), found).otherwise(_none()))
+    base, every = F.col("scan base"), F.array_sort(F.concat("scan base", "scan found"))
+    return out.withColumns({names[0]: base, names[1]: every}).drop("scan text", "scan low", "scan base", "scan rest", "scan found", *[f"scan {k}" for k, *_ in BASE])
 
 
 def joined(column: str) -> Column:
@@ -163,18 +207,9 @@ def joined(column: str) -> Column:
 
 def redacted(docs: DataFrame, mark: str = "[SECRET]", text_col: str = "text") -> DataFrame:
     """docs with every span in the text replaced by the mark (spans that overlap by one); same columns. A null text stays null."""
-    found = spans(docs.select("*"), text_col=text_col)
-
-    def step(acc, s):
-        fresh = s["start"] >= acc["at"]
-        gap = F.col(text_col).substr(acc["at"].cast("int") + 1, (s["start"] - acc["at"]).cast("int"))
-        return F.struct(F.greatest(acc["at"], s["stop"]).alias("at"), F.when(fresh, F.concat(acc["out"], gap, F.lit(mark))).otherwise(acc["out"]).alias("out"))
-
-    def end(acc):
-        return F.concat(acc["out"], F.col(text_col).substr(acc["at"].cast("int") + 1, F.length(text_col)))
-
-    text = F.aggregate("spans", F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out")), step, end)
-    return found.withColumn(text_col, F.when(F.size("spans") > 0, text).otherwise(F.col(text_col))).select(*docs.columns)
+    found = spans(docs, text_col=text_col, names=("secret base", "secret spans"))
+    text = _replaced(F.col(text_col), F.col("secret spans"), lambda n, more=False: F.lit("") if more else F.when(n > 0, mark).otherwise(""))
+    return found.withColumn(text_col, F.when(F.size("secret spans") > 0, text).otherwise(F.col(text_col))).select(*docs.columns)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
