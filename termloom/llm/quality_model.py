@@ -2,29 +2,26 @@
 
 A document is the average of the vectors of its words, byte n-grams and whether its word pairs repeat,
 hashed into buckets; a softmax layer turns the average into class probabilities. Vectors and layer are learned together by stochastic gradient
-descent in numpy, on the rows of a bounded number of labelled ids. Executors count the sample's buckets and the driver keeps
-the counts in a temporary file, so that no text is too long for the sample. Once learned, a bucket's vector only ever meets
+descent in numpy, on a bounded number of labelled ids, in the order of a hash. Executors count the sample's buckets, which is
+all that the driver sees, so that no text is too long for the sample. Once learned, a bucket's vector only ever meets
 the layer's weights, so scoring folds the two into one number a bucket.
 """
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import in_split, table
+from .common import discard, in_split, materialise, parts, table
 from .toxicity import sample
 
 BUCKETS_LOG2, DIM = 16, 8
 GRAMS = (3, 4, 5)
 #: Kinds of features: each counts alike in a document's average, however many features it has.
 GROUPS = len(GRAMS) + 2
-#: Labelled ids that a model is fitted on, at most, in the order of a hash. A row takes 6 bytes for each of its buckets (2 ** BUCKETS_LOG2
-#: of each kind at most) in the driver's temporary file, however long its text.
+#: Labelled ids that a model is fitted on, at most: the first in the order of a hash. A row takes 4 bytes of the driver's memory for each
+#: of its buckets, and never more than 2 for each bucket there is (128 KB), however long its text.
 SAMPLE_ROWS = 3_000
 EPOCHS, RATE, BATCH = 8, 2.0, 32
 #: Steps at least: a small sample is gone through more often.
@@ -87,8 +84,12 @@ def joined(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def sums(values: np.ndarray, firsts: np.ndarray) -> np.ndarray:
-    total = np.concatenate([[0.0], np.cumsum(values, dtype=np.float64)])
-    return total[np.append(firsts[1:], len(values))] - total[firsts]
+    """Of each text's values: a text's sum depends on nothing but its own."""
+    if not len(values):
+        return np.zeros(len(firsts))
+    out = np.add.reduceat(values.astype(np.float64), np.minimum(firsts, len(values) - 1))
+    out[np.diff(np.append(firsts, len(values))) == 0] = 0
+    return out
 
 
 def logits(texts: list[str | None], weights: np.ndarray, bias: float) -> np.ndarray:
@@ -105,37 +106,45 @@ def logits(texts: list[str | None], weights: np.ndarray, bias: float) -> np.ndar
 
 
 def rows_of(texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Each text's buckets, and their shares of its average."""
+    """Each text's buckets in order, and their shares of its average."""
     out = []
     for text in texts:
         data, starts = joined([text])
-        ids, share = [np.zeros(0, np.uint32)], [np.zeros(0)]
+        total = np.zeros(1 << BUCKETS_LOG2)
         for got, real, _ in buckets(data, starts):
-            found, n = np.unique(got[real] if real is not None else got, return_counts=True)
-            ids.append(found), share.append(n / max(n.sum(), 1) / GROUPS)
-        out.append((np.concatenate(ids).astype(np.int32), np.concatenate(share).astype(np.float32)))
+            n = np.bincount(got[real] if real is not None else got, minlength=len(total))
+            total += n / max(n.sum(), 1) / GROUPS
+        ids = np.flatnonzero(total)
+        out.append((ids.astype(np.int32), total[ids].astype(np.float32)))
     return out
 
 
 class Kept:
-    """rows_of() of many texts, in an unnamed temporary file."""
+    """rows_of() of many texts: shares as half-precision parts of the greatest, by bucket or, where most buckets have one, of all buckets."""
 
     def __init__(self):
-        self.file, self.places, self.end = tempfile.TemporaryFile(buffering=0), [], 0
+        self.rows: list[tuple[bytes, bytes, float]] = []
 
     def __len__(self):
-        return len(self.places)
+        return len(self.rows)
+
+    @staticmethod
+    def packed(ids: np.ndarray, share: np.ndarray) -> tuple[bytes, bytes, float]:
+        most = float(share.max()) if len(share) else 1.0
+        half = (share / most).astype(np.float16)
+        if 2 * len(ids) < 1 << BUCKETS_LOG2:
+            return ids.astype(np.uint16).tobytes(), half.tobytes(), most
+        whole = np.zeros(1 << BUCKETS_LOG2, np.float16)
+        whole[ids] = half
+        return b"", whole.tobytes(), most
 
-    def add(self, ids: bytes, share: bytes) -> None:
-        for part in (memoryview(ids), memoryview(share)):
-            while len(part):
-                part = part[self.file.write(part) :]
-        self.places.append((self.end, len(ids), len(share)))
-        self.end += len(ids) + len(share)
+    def add(self, ids: bytes, share: bytes, most: float) -> None:
+        self.rows.append((ids, share, most))
 
     def __getitem__(self, k: int) -> tuple[np.ndarray, np.ndarray]:
-        at, ids, share = self.places[k]
-        return np.frombuffer(os.pread(self.file.fileno(), ids, at), np.uint16), np.frombuffer(os.pread(self.file.fileno(), share, at + ids), np.float32)
+        ids, share, most = self.rows[k]
+        share = np.frombuffer(share, np.float16).astype(np.float32) * np.float32(most)
+        return (np.frombuffer(ids, np.uint16).astype(np.int32) if ids else np.arange(len(share), dtype=np.int32)), share
 
 
 def train(rows, labels: np.ndarray, seed: int = 7) -> tuple[np.ndarray, float]:
@@ -180,18 +189,22 @@ def train(rows, labels: np.ndarray, seed: int = 7) -> tuple[np.ndarray, float]:
 
 
 def fit(docs: DataFrame, labels: DataFrame, modulus: int = 4, held: int = 2, rows: int = SAMPLE_ROWS) -> tuple[np.ndarray, float]:
-    """Learned from the labelled rows outside the held-out split. Without labels or documents every score is 0.5;
+    """Learned from labelled rows outside the held-out split, by numbers that don't depend on how tables are stored. Without labels or documents every score is 0.5;
     labels that none of the documents has, or of one class alone, are an error."""
 
     def featured(batches):
         for batch in batches:
-            for text, y in zip(batch.column(0), batch.column(1)):
-                ids, share = rows_of([text.as_py()])[0]
-                yield pa.RecordBatch.from_arrays([pa.array([y.as_py()], pa.int32()), pa.array([ids.astype(np.uint16).tobytes()], pa.binary()), pa.array([share.tobytes()], pa.binary())], names=["y", "ids", "share"])
+            for k in range(batch.num_rows):
+                ids, share, most = Kept.packed(*rows_of([batch.column(2)[k].as_py()])[0])
+                columns = [batch.column(0).slice(k, 1), batch.column(1).slice(k, 1), pa.array([ids], pa.binary()), pa.array([share], pa.binary()), pa.array([most])]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "y", "ids", "share", "most"])
 
     kept, ys = Kept(), []
-    for r in sample(docs, labels, "quality", modulus, held, rows).mapInArrow(featured, "y int, ids binary, share binary").toLocalIterator():
-        kept.add(r["ids"], r["share"]), ys.append(r["y"])
+    found = sample(docs, labels, "quality", modulus, held, rows).select(F.col("doc_id").cast("long").alias("doc_id"), "y", "text")
+    found = materialise(found.mapInArrow(featured, "doc_id long, y int, ids binary, share binary, most double"), "quality-sample")
+    for r in found.orderBy(F.xxhash64("doc_id"), "doc_id").toLocalIterator():  # the order decides the model, so it must not be the files'
+        kept.add(r["ids"], r["share"], r["most"]), ys.append(r["y"])
+    discard(found)
     if not ys and not docs.isEmpty() and not labels.isEmpty():
         raise ValueError("the quality model's sample is empty: no document outside the held-out split has a label")
     return train(kept, np.array(ys, int))
@@ -204,8 +217,7 @@ def where(docs: DataFrame, model: tuple[np.ndarray, float], keep) -> DataFrame:
     def run(batches):
         weights, bias = shared.value
         for batch in batches:
-            for at in range(0, batch.num_rows, 300):
-                part = batch.slice(at, 300)
+            for part in parts(batch, at_text, 300):
                 z = logits(part.column(at_text).to_pylist(), weights, bias)
                 yield part.filter(pa.array(keep(1 / (1 + np.exp(-np.clip(z, -30, 30))))))
 
@@ -214,15 +226,16 @@ def where(docs: DataFrame, model: tuple[np.ndarray, float], keep) -> DataFrame:
 
 def score(docs: DataFrame, labels: DataFrame, modulus: int = 4, held: int = 2, threshold: float = 0.7) -> DataFrame:
     """Fit on the labels, then per row of docs: doc_id, held_out, score, predicted. Null counts as an empty text,
-    whose score comes from the constants alone. Rows that repeat are scored as often as they occur."""
+    whose score comes from the constants alone. Rows that repeat are scored as often as they occur, and equal texts alike; a null
+    id stays; other columns are not looked at, whatever their names; an empty table gives an empty one. A very long text is
+    scored whole, in one task: it needs some 50 bytes of memory a byte."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(fit(docs, labels, modulus, held))  # 2 ** BUCKETS_LOG2 numbers
 
     def run(batches):
         weights, bias = shared.value
         for batch in batches:
-            for at in range(0, batch.num_rows, 300):
-                part = batch.slice(at, 300)
+            for part in parts(batch, 1, 300):
                 z = logits(part.column(1).to_pylist(), weights, bias)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(1 / (1 + np.exp(-np.clip(z, -30, 30))))], names=["doc_id", "score"])
 

@@ -1,42 +1,40 @@
 """Toxicity by a weighted lexicon.
 
-Texts are folded (case, homoglyphs, digits and signs that stand for letters; anything else becomes a space)
-and matched with one Aho-Corasick automaton whose entries start at a word's start: whole words, stems that
+Texts are folded (case, accents, invisible characters, homoglyphs, digits and signs that stand for letters; anything else
+becomes a space) and matched with one Aho-Corasick automaton whose entries start at a word's start: whole words, stems that
 any ending may follow, and exception phrases whose extent cancels what they cover. Weights are log-odds
-learned from labelled rows; the sum of weights is set against the text's length, and a logistic curve
-fitted on the same rows turns both into a score.
+learned from labelled rows alone, as are exception phrases beyond the given ones; the sum of weights is set against the
+text's length, and a logistic curve fitted on the same rows turns both into a score.
 """
 
 from __future__ import annotations
 
 import math
+import unicodedata
 import zlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import in_split, table
+from .common import discard, in_split, materialise, parts, table
 
-#: Fixed values. Entries known beforehand, with their weight; labels may add to them and reweight them.
-LEXICON = {"idiot": 4.0, "moron": 4.0, "scum": 4.0, "stupid": 4.0, "loser": 4.0, "pathetic": 4.0, "worthless": 4.0, "disgusting": 4.0, "trash": 4.0, "clown": 4.0}
 #: Fixed values. Phrases in which an entry is harmless.
 EXCEPTIONS = ("trash can", "trash bin", "trash collection", "clown fish", "circus clown", "pond scum", "soap scum", "loser bracket", "sore loser rule")
 #: Fixed values. What stands for a letter: digits and signs, then Cyrillic and Greek letters of the same shape.
 SUBSTITUTES = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "@": "a", "$": "s", "!": "i", "|": "i"}
-HOMOGLYPHS = {"а": "a", "е": "e", "о": "o", "р": "p", "с": "c", "у": "y", "х": "x", "і": "i", "ѕ": "s", "ј": "j", "к": "k", "м": "m", "т": "t", "в": "b", "н": "h", "α": "a", "ο": "o", "ι": "i", "ν": "v", "ρ": "p", "τ": "t", "υ": "u", "κ": "k", "ε": "e"}
+HOMOGLYPHS = {"а": "a", "е": "e", "о": "o", "р": "p", "с": "c", "у": "y", "х": "x", "і": "i", "ѕ": "s", "ј": "j", "к": "k", "м": "m", "т": "t", "в": "b", "н": "h", "α": "a", "ο": "o", "ι": "i", "ν": "v", "ρ": "p", "τ": "t", "υ": "u", "κ": "k", "ε": "e", "ı": "i", "ɑ": "a", "ɡ": "g", "ԁ": "d", "һ": "h", "ӏ": "l"}
+#: Fixed values. What can't be seen: marks above and below letters, soft hyphens, joiners, marks of direction and the like.
+UNSEEN = (*range(0x300, 0x370), 0xAD, 0x180E, *range(0x200B, 0x2010), *range(0x202A, 0x202F), *range(0x2060, 0x2065), 0xFEFF)
 
 #: Labelled rows that a model is fitted on, at most; the rest of the labelled rows isn't looked at.
 SAMPLE_ROWS = 20_000
-#: Entries learned, at most.
-LEARNED = 5_000
 STEMS = range(4, 9)
 
 
 def _tables() -> tuple[bytes, dict[int, str]]:
     wide = {c: " " for c in (*range(0x80, 0xC0), *range(0x2000, 0x2070), *range(0x3000, 0x3040)) if c not in (0xAA, 0xB5, 0xBA)}
-    wide |= {ord(k): v for k, v in HOMOGLYPHS.items()} | {0xFF21 + k: chr(97 + k) for k in range(26)} | {0xFF41 + k: chr(97 + k) for k in range(26)}
+    wide |= {ord(k): v for k, v in HOMOGLYPHS.items()} | dict.fromkeys(UNSEEN)
     plain = [" "] * 128
     for c in range(26):
         plain[65 + c] = plain[97 + c] = chr(97 + c)
@@ -51,9 +49,11 @@ ASCII = ASCII + bytes(range(128, 256))
 
 
 def fold(text: str | None) -> str:
-    """Letters of one case, words apart by spaces, a space at both ends. `!` and `|` inside a word stand for i."""
+    """Letters of one case without accents, words apart by spaces, a space at both ends. `!` and `|` inside a word stand for i."""
     if not text:
         return " "
+    if not text.isascii():
+        text = unicodedata.normalize("NFKD", text)
     if "!" in text or "|" in text:
         import re
 
@@ -72,15 +72,19 @@ def term_sets(text: str) -> set[str]:
     return found
 
 
+def has_entry(word: str, weights: dict[str, float]) -> bool:
+    return f" {word} " in weights or any(f" {word[:n]}" in weights for n in STEMS if len(word) >= n)
+
+
 class Matcher:
-    """weights: entries as term_sets() writes them."""
+    """weights: entries as term_sets() writes them; those of weight 0 are exception phrases, too."""
 
     def __init__(self, weights: dict[str, float], exceptions=EXCEPTIONS):
         import ahocorasick
 
         self.automaton = ahocorasick.Automaton()
         for entry, weight in weights.items():
-            self.automaton.add_word(entry, (len(entry.strip()), weight, False))
+            self.automaton.add_word(entry, (len(entry.strip()), weight, not weight))
         for phrase in exceptions:
             self.automaton.add_word(f" {phrase} ", (len(phrase), 0.0, True))
         if len(self.automaton):
@@ -153,61 +157,90 @@ def choose(rows: list[tuple[str, int, int]], positives: int, negatives: int) ->
         if any(stem[:k] in chosen and stem[:k] != stem for k in range(5, len(stem) + 1)) or (term != stem and stem in chosen):
             continue
         chosen[term] = min(odds, 8.0)
-    return dict(sorted(chosen.items(), key=lambda x: -x[1])[:LEARNED])
+    return chosen
 
 
 def sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int, held: int, rows: int) -> DataFrame:
-    """text and label (0 or 1) of at most `rows` labelled rows outside the held-out split, in the order of a hash."""
+    """doc_id, y (0 or 1) and text of at most `rows` labelled ids outside the held-out split, the first in the order of a
+    hash of the id. An id is one row: of several labels the greatest counts, of several texts the least."""
     wanted = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~in_split(F.col("doc_id"), modulus, held))
     wanted = wanted.groupBy("doc_id").agg(F.max(label).cast("int").alias("y")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    return docs.select("doc_id", "text").join(F.broadcast(wanted), "doc_id").select("text", "y")  # at most `rows` pairs of numbers
+    found = docs.select("doc_id", "text").join(F.broadcast(wanted), "doc_id")  # at most `rows` pairs of numbers
+    return found.groupBy("doc_id", "y").agg(F.min("text").alias("text"))
+
+
+def _counted(batches, found):
+    """Texts labelled 1 and 0 in which found(text) names a term."""
+    counts: dict[str, list[int]] = {}
+
+    def rows():
+        return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), *(pa.array([c[y] for c in counts.values()], pa.int64()) for y in (1, 0))], names=["term", "pos", "neg"])
+
+    for batch in batches:
+        for text, y in zip(batch.column(1).to_pylist(), batch.column(0).to_pylist()):
+            for term in found(text):
+                counts.setdefault(term, [0, 0])[y] += 1
+            if len(counts) > 1_000_000:
+                yield rows()
+                counts.clear()
+    yield rows()
+
+
+TERMS = "term string, pos long, neg long"
+
+
+def _summed(counts: DataFrame) -> DataFrame:
+    return counts.groupBy("term").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+
+
+def neighbours_of(text: str | None, weights: dict[str, float]) -> set[str]:
+    """Each pair of words one of which is an entry."""
+    words = fold(text).split()
+    here = [has_entry(w, weights) for w in words]
+    return {f" {a} {b} " for a, b, x, y in zip(words, words[1:], here, here[1:]) if x or y}
 
 
 def fit(docs: DataFrame, labels: DataFrame, modulus: int = 3, held: int = 1, rows: int = SAMPLE_ROWS) -> tuple[dict[str, float], np.ndarray]:
-    """Entries' weights and the logistic curve."""
-    taken = sample(docs, labels, "toxic", modulus, held, rows)
-
-    def counted(batches):
-        counts: dict[str, list[int]] = {}
-        for pdf in batches:
-            for text, y in zip(pdf["text"], pdf["y"]):
-                for term in term_sets(text):
-                    counts.setdefault(term, [0, 0])[y] += 1
-            if len(counts) > 1_500_000:
-                yield pd.DataFrame({"term": list(counts), "pos": [c[1] for c in counts.values()], "neg": [c[0] for c in counts.values()]})
-                counts = {}
-        yield pd.DataFrame({"term": list(counts), "pos": [c[1] for c in counts.values()], "neg": [c[0] for c in counts.values()]})
+    """Entries' weights (0: an exception phrase) and the logistic curve. Without labels of both kinds nothing is known: there are
+    no entries, and every text gets the curve's lowest score."""
+    taken = materialise(sample(docs, labels, "toxic", modulus, held, rows), "toxicity-sample")
 
     def sketched(batches):  # near copies of a text count once: they'd make each of its words look telling
-        for pdf in batches:
+        for batch in batches:
             keys = []
-            for text in pdf["text"]:
+            for text in batch.column(2).to_pylist():
                 w = (text or "").encode().lower().split()
                 keys.append(min((zlib.crc32(b" ".join(w[k : k + 3])) for k in range(max(len(w) - 2, 1))), default=0))
-            yield pd.DataFrame({"text": pdf["text"], "y": pdf["y"], "key": keys})
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(keys, pa.int64())], names=["doc_id", "y", "key"])
 
-    apart = taken.mapInPandas(sketched, "text string, y int, key long").dropDuplicates(["key", "y"])
-    terms = apart.mapInPandas(counted, "term string, pos long, neg long").groupBy("term").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-    sizes = dict(taken.groupBy("y").count().collect())
+    first = taken.select(F.col("doc_id").cast("long").alias("doc_id"), "y", "text").mapInArrow(sketched, "doc_id long, y int, key long").groupBy("key", "y").agg(F.min("doc_id").alias("doc_id"))
+    apart = materialise(taken.join(F.broadcast(first.select("doc_id")), "doc_id", "left_semi"), "toxicity-apart")  # at most `rows` numbers
+    sizes = dict(apart.groupBy("y").count().collect())
     positives, negatives = sizes.get(1, 0), sizes.get(0, 0)
-    weights = {f" {w} ": v for w, v in LEXICON.items()}
-    if not positives or not negatives:
-        return weights, DEFAULT_CURVE
-    weights |= choose([tuple(r) for r in eligible(terms, positives, negatives).collect()], positives, negatives)
-    found = measure(taken.select(F.col("y").cast("long").alias("doc_id"), "text"), weights).select("doc_id", "total", "n_words").toPandas()
-    y = found["doc_id"].to_numpy(float)
-    return weights, logistic(features(found["total"].to_numpy(float), found["n_words"].to_numpy(float)), y)
+    try:
+        if not positives or not negatives:
+            return {}, DEFAULT_CURVE
+        terms = _summed(apart.select("y", "text").mapInArrow(lambda batches: _counted(batches, term_sets), TERMS))
+        weights = choose([tuple(r) for r in eligible(terms, positives, negatives).collect()], positives, negatives)
+        around = _summed(apart.select("y", "text").mapInArrow(lambda batches: _counted(batches, lambda text: neighbours_of(text, weights)), TERMS))
+        harmless = around.where((F.col("neg") >= SEEN) & (F.col("pos") * 20 <= F.col("neg"))).select("term").collect()
+        weights = weights | {r.term: 0.0 for r in harmless}
+        found = measure(taken.select(F.col("y").cast("long").alias("doc_id"), "text"), weights).select("doc_id", "total", "n_words").toPandas()
+        found = found.sort_values(["doc_id", "total", "n_words"])
+        return weights, logistic(features(found["total"].to_numpy(float), found["n_words"].to_numpy(float)), found["doc_id"].to_numpy(float))
+    finally:
+        discard(taken, apart)
 
 
 def measure(docs: DataFrame, weights: dict[str, float], curve: np.ndarray = DEFAULT_CURVE) -> DataFrame:
     """doc_id, total (sum of weights), n_words, n_hits, score of each row. A null or empty text has no words and
-    gets the curve's lowest score. Rows that repeat are scored as often as they occur."""
+    gets the curve's lowest score. Rows that repeat are scored as often as they occur, and alike; a null id stays; other
+    columns are not looked at, whatever their names; an empty table gives an empty one. A very long text is matched whole, in one pass."""
 
     def run(batches):
         matcher = Matcher(weights)
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
+            for part in parts(batch, 1, 1000):
                 total, words, hits = zip(*map(matcher.measure, part.column(1).to_pylist()))
                 x = features(np.array(total), np.array(words, float))
                 score = 1 / (1 + np.exp(-np.clip(x @ curve, -30, 30)))
@@ -223,8 +256,7 @@ def where(docs: DataFrame, weights: dict[str, float], curve: np.ndarray, keep) -
     def run(batches):
         matcher = Matcher(weights)
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
+            for part in parts(batch, at_text, 1000):
                 total, words, _ = zip(*map(matcher.measure, part.column(at_text).to_pylist()))
                 x = features(np.array(total), np.array(words, float))
                 yield part.filter(pa.array(keep(1 / (1 + np.exp(-np.clip(x @ curve, -30, 30))))))

@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import pytest
+from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from termloom.llm import quality_model as q, toxicity as t
@@ -58,6 +59,41 @@ def test_folding_and_exceptions():
     assert m.measure("zorg " * 50_000)[2] == 50_000
 
 
+def test_what_is_not_seen_does_not_hide_a_word():
+    for text in ("id\u200biot", "id\u00adiot", "ïdíöt", "i\u0301diot", "ID\u2060IOT", "ｉｄiot"):
+        assert t.fold(text) == " idiot ", text
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["zorg", "zorgul", "Zorgulax", "za", "bad", "b4d", "badge", "good", "day", "bad day", "a!b", "é", "."]), max_size=20))
+def test_matcher_against_brute_force(words):
+    weights = {" zorg": 3.0, " zorgul": 4.0, " bad ": 2.0, " good ": 1.0, " bad day ": 0.0}
+    text = " ".join(words)
+    folded = t.fold(text).split()
+    total = hits = 0
+    for k, w in enumerate(folded):
+        spared = w == "bad" and folded[k + 1 : k + 2] == ["day"] or w == "trash" and folded[k + 1 : k + 2] == ["can"]
+        heaviest = max([v for e, v in weights.items() if v and (e == f" {w} " if e.endswith(" ") else w.startswith(e.strip()))], default=0)
+        if heaviest and not spared:
+            total, hits = total + heaviest, hits + 1
+    assert t.Matcher(weights).measure(text) == (total, len(folded), hits)
+
+
+def test_exceptions_are_learned_and_fits_repeat(spark):
+    rng, rows, labels = random.Random(12), [], []
+    for i in range(600):
+        w, y = words(rng, 30), i % 3 == 0
+        at = rng.randrange(len(w))
+        w[at:at] = ["zorgul"] if y else ["zorgul", "garden"] if i % 27 == 1 else []
+        rows.append((i, " ".join(w), None, "x"))
+        labels.append((i, 1, int(y)))
+    docs, marks = spark.createDataFrame(rows, DOCS), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    weights, curve = t.fit(docs, marks)
+    assert weights[" zorgul garden "] == 0 and t.Matcher(weights).measure("zorgul garden")[0] == 0 < t.Matcher(weights).measure("zorgul gardens")[0]
+    again, curve2 = t.fit(docs.repartition(7, "text"), marks.repartition(3))
+    assert again == weights and (curve == curve2).all()
+
+
 def test_without_labels(spark, toxic):
     docs, labels, _ = toxic
     assert t.score(docs, labels.limit(0)).count() == docs.count()
@@ -95,6 +131,50 @@ def test_scores_of_a_batch_are_those_of_its_texts():
         assert abs(float((w[ids] * share).sum()) + 0.1 - z) < 1e-3
 
 
+def test_buckets_against_brute_force():
+    texts = ["the cat the cat sat", "", "é x", "aaaa bb aaaa bb"]
+    size, mask = q.BUCKETS_LOG2, (1 << 64) - 1
+    for text, (ids, share) in zip(texts, q.rows_of(texts)):
+        raw, want = text.encode() + b"\n", {}
+        kinds = []
+        for n in q.GRAMS:
+            kind = []
+            for at in range(len(raw) - n + 1):
+                h = 0
+                for k in range(n):
+                    h = (h * 16777619 + raw[at + k]) & 0xFFFFFFFF if k else raw[at]
+                kind.append((((h ^ (n * 0x9E3779B1 & 0xFFFFFFFF)) * 2654435761) & 0xFFFFFFFF) >> (32 - size))
+            kinds.append(kind)
+        hashes = []
+        for w in raw.split():
+            h = sum(c * pow(1099511628211, k, 1 << 64) for k, c in enumerate(w)) & mask
+            h ^= h >> 29
+            hashes.append(h * 0xBF58476D1CE4E5B9 & mask)
+        kinds.append([h >> (64 - size) for h in hashes])
+        pairs = list(zip(hashes, hashes[1:]))
+        kinds.append([int(p in pairs[:k]) for k, p in enumerate(pairs)])
+        for kind in kinds:
+            for b in kind:
+                want[b] = want.get(b, 0) + 1 / len(kind) / q.GROUPS
+        assert dict(zip(ids.tolist(), share.tolist())) == pytest.approx(want, abs=1e-6)
+
+
+def test_equal_texts_score_alike_and_fits_repeat(spark, toxic):
+    w = np.random.default_rng(1).standard_normal(1 << q.BUCKETS_LOG2).astype(np.float32)
+    text = "The cat sat. " * 50
+    z = q.logits(["x " * 999, text, "", text, "é" * 77, text], w, 0.1)
+    assert z[1] == z[3] == z[5] == q.logits([text], w, 0.1)[0]
+    ids, share = q.rows_of([text])[0]
+    kept = q.Kept()
+    kept.add(*q.Kept.packed(ids, share)), kept.add(*q.Kept.packed(np.arange(1 << q.BUCKETS_LOG2), np.full(1 << q.BUCKETS_LOG2, 0.5)))
+    assert (kept[0][0] == ids).all() and np.allclose(kept[0][1], share, rtol=1e-3, atol=1e-7) and (kept[1][1] == 0.5).all() and len(kept[1][0]) == 1 << q.BUCKETS_LOG2
+    rng = random.Random(3)
+    rows = [(i, " ".join(words(rng, 20)) + (" !!" * 20 if i % 2 else ""), None, "x") for i in range(120)]
+    docs, marks = spark.createDataFrame(rows, DOCS), spark.createDataFrame([(i, i % 2, 0) for i in range(120)], "doc_id long, quality int, toxic int")
+    one, two = q.fit(docs, marks), q.fit(docs.repartition(5, "text"), marks.repartition(3))
+    assert (one[0] == two[0]).all() and one[1] == two[1]
+
+
 def test_where_keeps_columns(spark, toxic):
     docs, labels, _ = toxic
     weights, curve = t.fit(docs, labels)
@@ -132,8 +212,7 @@ def test_pipeline_does_not_drop_all_for_want_of_labels(spark, toxic, tmp_path):
         corpus_pipeline.keep_quality(spark, docs, str(tmp_path))
 
 
-def test_common_words_do_not_crowd_out_telling_ones(spark, monkeypatch):
-    monkeypatch.setattr(t, "LEARNED", 5)
+def test_common_words_do_not_crowd_out_telling_ones(spark):
     rng, rows, labels = random.Random(9), [], []
     common = ["".join(rng.choice("abcdefgh") for _ in range(7)) for _ in range(60)]  # in more of the toxic texts, but telling little
     for i in range(600):
