@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -16,6 +17,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@functools.lru_cache(None)
+def _own_dir(application: str) -> str:
+    return "file://" + tempfile.mkdtemp(prefix="termloom-")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share (spark.checkpoint.dir). Where it is unset a temporary one will do only if
     driver and executors are one process."""
@@ -24,8 +30,7 @@ def shared_dir(spark: SparkSession) -> str:
         master = spark.sparkContext.master
         if not master.startswith("local") or master.startswith("local-cluster"):
             raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        path = "file://" + tempfile.mkdtemp(prefix="termloom-")
-        spark.conf.set("spark.checkpoint.dir", path)
+        path = _own_dir(spark.sparkContext.applicationId)
     return path.rstrip("/")
 
 

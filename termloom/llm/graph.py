@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from .common import materialise
+from .common import discard, materialise
 
 
 def _large(edges: DataFrame) -> DataFrame:
@@ -23,11 +23,12 @@ def _small(edges: DataFrame) -> DataFrame:
 
 def components(edges: DataFrame, name: str = "links", rounds: int = 60) -> DataFrame:
     """edges: columns a, b (numbers; loops and repeats don't matter). One row per node that has a link to another:
-    node, component (its smallest node). Each round is written to the shared folder."""
+    node, component (its smallest node). Each round is written to the shared folder, and the one before it deleted."""
     now = materialise(edges.select("a", "b").where("a <> b").distinct(), name)
     before = None
     for _ in range(rounds):
-        now = materialise(_small(_large(now)).where("a <> b").distinct(), name)
+        last, now = now, materialise(_small(_large(now)).where("a <> b").distinct(), name)
+        discard(last)
         digest = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
         if tuple(digest) == before:
             break

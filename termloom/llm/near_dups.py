@@ -8,29 +8,43 @@ draws at the cost of a few passes over the set. Groups of bins (bands) are the c
 
 Documents of equal sets form a class; the rest works on classes. In a bucket every member is held against the
 bucket's head, on the full sets. What remains in pieces after that is finished exactly: such a bucket is dealt in
-blocks, and each pair of blocks that holds more than one piece counts all its intersections as a product of
-zero-one matrices and returns a spanning forest of the links, not the links. No bucket is too large for this and
-no candidate is left out.
+blocks of bounded bytes whose sets have like sizes, and each pair of blocks that holds more than one piece, and sizes near
+enough to be linked, counts all its intersections as a product of zero-one matrices and returns a spanning forest
+of the links, not the links. No bucket is too large for this and no candidate is left out.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import materialise, table
+from .common import discard, materialise, parts, table
 from .graph import components
 
-BANDS_ROWS = {85: (32, 6), 80: (38, 5)}
-BLOCK = 512
+#: Sets and bytes of sets in a block of a bucket (one set at least).
+BLOCK, BLOCK_BYTES = 512, 16_000_000
+#: The chance that a pair at the limit shares no band.
+MISSED = 3e-7
 U = np.uint64
 FULL = U(0xFFFFFFFFFFFFFFFF)
 
 
+def bands_rows(percent: int) -> tuple[int, int]:
+    """Bands, and numbers in each: pairs of the given similarity share all numbers of a band in about a third of the bands, and
+    no band with a chance of MISSED at most."""
+    if not 1 <= percent <= 100:
+        raise ValueError("percent lies between 1 and 100")
+    if percent == 100:
+        return 1, 8  # equal sets agree everywhere
+    rows = max(1, round(math.log(0.35) / math.log(percent / 100)))
+    return math.ceil(math.log(MISSED) / math.log(1 - (percent / 100) ** rows)), rows
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> U(30))) * U(0xBF58476D1CE4E5B9)
     h = (h ^ (h >> U(27))) * U(0x94D049BB133111EB)
@@ -111,8 +125,7 @@ def signatures(docs: DataFrame, k: int, bands: int, rows: int) -> DataFrame:
     def run(batches):
         shingler = Shingler(k)
         for batch in batches:
-            for at in range(0, batch.num_rows, 400):
-                part = batch.slice(at, 400)
+            for part in parts(batch, 1, 400):
                 sets = shingler.sets(part.column(1).to_pylist())
                 full = [s for s in sets if len(s)]
                 keys = iter(band_keys(sketches(full, bands * rows), bands, rows).tolist())
@@ -129,8 +142,7 @@ def shingle_sets(docs: DataFrame, k: int) -> DataFrame:
     def run(batches):
         shingler = Shingler(k)
         for batch in batches:
-            for at in range(0, batch.num_rows, 400):
-                part = batch.slice(at, 400)
+            for part in parts(batch, 1, 400):
                 sets = shingler.sets(part.column(1).to_pylist())
                 digests = [np.frombuffer(hashlib.blake2b(s.tobytes(), digest_size=16).digest(), np.int64).tolist() for s in sets]
                 yield pa.RecordBatch.from_arrays([pa.array([d[0] for d in digests], pa.int64()), pa.array([d[1] for d in digests], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["h1", "h2", "set"])
@@ -198,11 +210,12 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     smallest doc_id that links reach, itself included. A text with fewer than k words has its words as one
     shingle; one without words (or null) has none, is linked with nothing and is kept. A row without doc_id is
     linked through its text, gets the smallest doc_id of its group, and is kept only if there is none.
-    Of rows that repeat a doc_id with a text of one component, all are kept or none."""
-    bands, rows = BANDS_ROWS.get(percent, (38, 5))
+    Of rows that repeat a doc_id with a text of one component, all are kept or none. Other columns are not looked at,
+    whatever their names; an empty table gives an empty one. A very long text is one set, in one task."""
+    bands, rows = bands_rows(percent)
     marked = materialise(signatures(docs, k, bands, rows), "signatures")
     full = marked.where(F.col("h1").isNotNull())
-    classes = full.groupBy("h1", "h2").agg(F.min("doc_id").alias("least"), F.first("bands").alias("bands"))
+    classes = full.groupBy("h1", "h2").agg(F.min("doc_id").alias("least"), F.first("n_shingles").alias("size"), F.first("bands").alias("bands"))
     classes = materialise(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
     keyed = classes.select("cid", F.explode("bands").alias("key"))
     heads = keyed.groupBy("key").agg(F.min("cid").alias("head"), F.count("*").alias("size")).where("size > 1")
@@ -227,13 +240,24 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     left = buckets.where("size > 2").join(pieces.withColumnRenamed("node", "cid"), "cid", "left").withColumn("piece", F.coalesce("component", "cid"))
     kinds = left.groupBy("key").agg(F.count("*").alias("n"), F.sum(F.xxhash64("cid").cast("decimal(20,0)")).alias("members"), F.min("piece").alias("lo"), F.max("piece").alias("hi"))
     kinds = kinds.where("lo < hi").groupBy("n", "members").agg(F.min("key").alias("key"))
-    left = left.select("key", "cid", "piece").join(kinds.select("key", "n"), "key")
-    left = materialise(left.withColumn("block", ((F.row_number().over(W.partitionBy("key").orderBy("piece", "cid")) - 1) / F.lit(BLOCK)).cast("int")), "left")
-    blocks = left.groupBy("key", "block").agg(F.min("piece").alias("lo"), F.max("piece").alias("hi"), F.first("n").alias("n"))
-    dealt = blocks.withColumn("other", F.explode(F.sequence(F.lit(0), F.expr(f"cast((n - 1) div {BLOCK} as int)"))))
-    two = blocks.select("key", F.col("block").alias("other"), F.col("lo").alias("lo2"), F.col("hi").alias("hi2"))
-    dealt = dealt.join(two, ["key", "other"]).where((F.least("lo", "lo2") < F.greatest("hi", "hi2")) & ((F.col("block") != F.col("other")) | (F.col("n") <= BLOCK)))
-    dealt = dealt.select("key", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+    # in a bucket: the members of a large piece, and all others, by size (links need sizes within `percent` of each other), then
+    # dealt by a hash into as many blocks as their bytes need; no task ever sees a bucket as a whole
+    left = left.select("key", "cid", "piece").join(kinds.select("key"), "key").join(classes.select("cid", F.col("size").alias("n_set")), "cid")
+    own = left.groupBy("key", "piece").agg((F.count("*") >= BLOCK).alias("large"))
+    step = math.log(100 / percent) / 2 if percent < 100 else 1.0
+    left = left.join(own, ["key", "piece"]).select("key", "cid", "piece", "n_set", F.when(F.col("large"), F.col("piece")).alias("of"), F.floor(F.log("n_set") / step).cast("int").alias("scale"))
+    left = materialise(left, "left")
+    deal = left.groupBy("key", "of", "scale").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(8 * F.sum("n_set") / BLOCK_BYTES)).cast("long").alias("parts"))
+    same = [left["key"] == deal["key"], left["of"].eqNullSafe(deal["of"]), left["scale"] == deal["scale"]]
+    left = left.join(deal, same).select(left["*"], F.pmod(F.xxhash64("cid"), F.col("parts")).alias("part"))
+    left = materialise(left.select("key", "cid", "piece", F.xxhash64("of", "scale", "part").alias("block"), "n_set"), "left-blocks")
+    blocks = left.groupBy("key", "block").agg(F.min("piece").alias("lo"), F.max("piece").alias("hi"), F.min("n_set").alias("small"), F.max("n_set").alias("big"), F.count("*").alias("n"))
+    two = blocks.select("key", *[F.col(c).alias(c + "2") for c in ("block", "lo", "hi", "small", "big")])
+    near = (100 * F.col("big") >= percent * F.col("small2")) & (100 * F.col("big2") >= percent * F.col("small"))
+    apart = F.least("lo", "lo2") < F.greatest("hi", "hi2")
+    dealt = blocks.join(two, "key").where((F.col("block") <= F.col("block2")) & apart & near & ((F.col("block") != F.col("block2")) | (F.col("n") > 1)))
+    dealt = materialise(dealt.select("key", F.col("block").alias("i"), F.col("block2").alias("j")), "block-pairs")
+    dealt = dealt.select("key", "i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("block"))
 
     def joined(pdf: pd.DataFrame) -> pd.DataFrame:
         cids = pdf["cid"].to_numpy()
@@ -241,9 +265,10 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
         return pd.DataFrame({"a": [cids[i] for i, _ in pairs], "b": [cids[j] for _, j in pairs]}, dtype="int64")
 
     tasks = left.select("key", "block", "cid", "piece").join(dealt, ["key", "block"]).join(sets, "cid")
-    more = tasks.groupBy("key", "i", "j").applyInPandas(joined, "a long, b long")
+    more = materialise(tasks.groupBy("key", "i", "j").applyInPandas(joined, "a long, b long"), "more-links")
     pieces_as_links = pieces.select(F.col("node").alias("a"), F.col("component").alias("b"))
-    final = components(pieces_as_links.unionByName(materialise(more, "more-links")), "components")
+    final = components(pieces_as_links.unionByName(more), "components")
+    discard(buckets, sets, links, more)
 
     labelled = classes.select("cid", "h1", "h2", "least").join(final.withColumnRenamed("node", "cid"), "cid", "left").withColumn("component", F.coalesce("component", "cid"))
     smallest = labelled.groupBy("component").agg(F.min("least").alias("component_id"))

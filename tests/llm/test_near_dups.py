@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 
-from termloom.llm import near_dups as nd
+from termloom.llm import common, near_dups as nd
 from termloom.llm.graph import components
 
 SCHEMA = "doc_id long, text string"
@@ -67,6 +67,40 @@ def test_a_bucket_no_head_joins(spark, monkeypatch):
     assert sorted((tuple(r) for r in got), key=str) == brute(rows, 3, 85)
 
 
+@pytest.mark.parametrize("percent", [50, 70, 95, 100])
+def test_other_limits(spark, percent):
+    rows = corpus(seed=5, groups=8, copies=7)
+    got = nd.near_duplicates(spark.createDataFrame(rows, SCHEMA), 2, percent).collect()
+    assert sorted((tuple(r) for r in got), key=str) == brute(rows, 2, percent)
+
+
+def test_bands():
+    assert nd.bands_rows(85) == (32, 6) and nd.bands_rows(80) == (38, 5)
+    for percent in range(1, 100):
+        bands, rows = nd.bands_rows(percent)
+        assert (1 - (percent / 100) ** rows) ** bands <= 3e-7
+    for percent in (0, 101):
+        with pytest.raises(ValueError):
+            nd.bands_rows(percent)
+
+
+def test_long_sets_make_small_blocks(spark, monkeypatch):
+    monkeypatch.setattr(nd, "BLOCK_BYTES", 1000)
+    monkeypatch.setattr(nd, "band_keys", lambda sketch, bands, rows: np.ones((len(sketch), bands), np.int64))
+    rows = [(i, " ".join(f"w{j}" for j in range(i, i + 20 + 15 * (i % 7)))) for i in range(40)]
+    got = nd.near_duplicates(spark.createDataFrame(rows, SCHEMA), 3, 85).collect()
+    assert sorted((tuple(r) for r in got), key=str) == brute(rows, 3, 85)
+
+
+def test_scratch_tables_go(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(nd, "materialise", lambda df, name: made.append(name) or common.materialise(df, name))
+    made = []
+    monkeypatch.setattr(common, "shared_dir", lambda spark: f"file://{tmp_path}")
+    got = nd.near_duplicates(spark.createDataFrame(corpus(), SCHEMA), 3, 85)
+    left = {p.name.rsplit("-", 1)[0] for p in (tmp_path / "termloom").iterdir()}
+    assert got.count() and len(made) > 6 and not left & {"buckets", "shingle-sets", "links", "more-links"}
+
+
 def test_empty(spark):
     assert nd.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
 
