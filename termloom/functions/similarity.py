@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import difflib
+from collections import Counter
 
 import pandas as pd
 from pyspark.sql import Column, functions as F
@@ -27,15 +28,19 @@ def sequence_ratio(a: Column | str, b: Column | str) -> Column:
 
 def quick_ratio(a: Column | str, b: Column | str) -> Column:
     """2 * shared characters (as multisets) / characters of both; 1.0 for two empty texts."""
-    a, b = _col(a), _col(b)
-    letters = F.array_distinct(F.split(a, ""))
-    shared = F.aggregate(F.filter(letters, lambda x: x != ""), F.lit(0), lambda acc, x: acc + F.least(_count(a, x), _count(b, x)))
-    total = F.length(a) + F.length(b)
-    return F.when(total == 0, F.lit(1.0)).otherwise(2.0 * shared / total)
 
+    @F.pandas_udf("double")
+    def run(left: pd.Series, right: pd.Series) -> pd.Series:
+        out = []
+        for x, y in zip(left, right):
+            if x is None or y is None:
+                out.append(None)
+                continue
+            total = len(x) + len(y)
+            out.append(2.0 * (Counter(x) & Counter(y)).total() / total if total else 1.0)
+        return pd.Series(out, dtype="float64")
 
-def _count(c: Column, x: Column) -> Column:
-    return F.length(c) - F.length(F.replace(c, x, F.lit("")))
+    return run(_col(a), _col(b))
 
 
 def text_ratio(a: Column | str, b: Column | str) -> Column:

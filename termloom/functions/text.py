@@ -9,6 +9,7 @@ from __future__ import annotations
 import re
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, functions as F
 
 # Escape sequences in the order they are removed for display, each with what it is.
@@ -112,9 +113,43 @@ def nearest_before(c: Column | str, marker: str, prefix: str = 'href="', suffix:
     return F.regexp_extract(c, "(?s)^.*" + re.escape(prefix) + "([^" + re.escape(suffix) + "]*)" + re.escape(suffix) + ".*?" + re.escape(marker), 1)
 
 
-def remove_tags(c: Column | str, passes: int = 4) -> Column:
-    """Innermost <...> removed until nothing changes, up to a nesting of `passes`."""
-    return reduce(lambda x, _: F.regexp_replace(x, r"<[^<>]*>", ""), range(passes), F.col(c) if isinstance(c, str) else c)
+def find_before(c: Column | str, marker: str, prefix: str = 'href="', suffix: str = '"') -> Column:
+    """struct(value, place): nearest_before() and where the marker is (from 0); place is -1 where there is no marker, and -2
+    where no prefix stands before it. Both leave the value empty."""
+    c = F.col(c) if isinstance(c, str) else c
+    at = F.locate(marker, c)
+    head = c.substr(F.lit(1), F.greatest(at - 1, F.lit(0)))
+    known = F.locate(prefix, head) > 0
+    place = F.when(at == 0, -1).when(~known, -2).otherwise(at - 1)
+    tail = F.substring_index(head, prefix, -1)
+    return F.struct(F.when(place >= 0, F.substring_index(tail, suffix, 1)).otherwise("").alias("value"), place.cast("long").alias("place"))
+
+
+def _without_tags(text: str) -> str:
+    """Innermost <...> removed until nothing changes, in one pass: a `>` takes away all from the nearest open `<`."""
+    out: list[str] = []
+    opened: list[int] = []
+    for piece in re.findall(r"[<>]|[^<>]+", text):
+        if piece == "<":
+            opened.append(len(out))
+            out.append(piece)
+        elif piece == ">" and opened:
+            del out[opened.pop() :]
+        else:
+            out.append(piece)
+    return "".join(out)
+
+
+def remove_tags(c: Column | str) -> Column:
+    """Innermost <...> removed until nothing changes: by built-in functions up to a nesting of four, beyond it by a UDF that gets
+    those texts alone."""
+
+    @F.pandas_udf("string")
+    def deep(texts: pd.Series) -> pd.Series:
+        return texts.map(_without_tags, na_action="ignore")
+
+    shallow = reduce(lambda x, _: F.regexp_replace(x, r"<[^<>]*>", ""), range(4), F.col(c) if isinstance(c, str) else c)
+    return F.coalesce(deep(F.when(shallow.rlike(r"<[^<>]*>"), shallow)), shallow)
 
 
 def html_fields(html: Column | str) -> Column:
@@ -139,6 +174,11 @@ def plain_date(c: Column | str) -> Column:
     return F.regexp_replace(c, "[TZ]", "")
 
 
+def plain_time(seconds: Column | str, style: str = "yyyy.MM.dd") -> Column:
+    """Seconds since 1970 as a date or time; null where they are no number."""
+    return F.date_format(F.timestamp_seconds((F.col(seconds) if isinstance(seconds, str) else seconds).try_cast("double")), style)
+
+
 def boxed(c: Column | str) -> Column:
     r"""true or false from \boxed{...}, else from oxed{...}; null if neither is there."""
     first = F.regexp_extract(c, r"(?i)\\boxed\{(true|false)\}", 1)
@@ -171,10 +211,14 @@ def file_id(path: Column | str) -> Column:
     return F.regexp_replace(name, "_multi$", "")
 
 
-def natural_key(c: Column | str, digits: int = 20) -> Column:
-    """An array that sorts as people sort: runs of digits by value, the rest in lower case."""
+def natural_key(c: Column | str) -> Column:
+    """An array that sorts as people sort: runs of digits by value (their length, then their digits), the rest in lower case."""
     parts = F.regexp_extract_all(c, F.lit(r"(\d+|\D+)"), F.lit(1))
-    return F.transform(parts, lambda p: F.when(p.rlike(r"^\d"), F.lpad(F.regexp_replace(p, "^0+(?=.)", ""), digits, "0")).otherwise(F.lower(p)))
+    return F.transform(parts, lambda p: F.when(p.rlike(r"^\d"), _by_value(F.regexp_replace(p, "^0+(?=.)", ""))).otherwise(F.lower(p)))
+
+
+def _by_value(digits: Column) -> Column:
+    return F.concat(F.lpad(F.length(digits).cast("string"), 10, "0"), digits)
 
 
 def chunk_ranges(total: Column, size: int) -> Column:

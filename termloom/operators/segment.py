@@ -51,8 +51,12 @@ def to_turns(rows: DataFrame, prompts: DataFrame, key: str = "file_id") -> DataF
 def classified(turns: DataFrame, replies: DataFrame, key: str = "file_id") -> DataFrame:
     """replies: key, turn_id, action_lines, observation_lines. Adds action, observation, prefix_matched: where the
     turn's text begins with prompt and action, the rest is the observation; else the reply's lines that aren't blank.
-    Without a reply the first line behind the prompt is the action."""
-    j = turns.join(replies.select(key, "turn_id", "action_lines", "observation_lines"), [key, "turn_id"], "left")
+    Without a reply the first line behind the prompt is the action. Of several replies on a turn the last counts: that of the
+    greatest seq, if replies have such a column, else the last in their order."""
+    order = F.col("seq") if "seq" in replies.columns else F.monotonically_increasing_id()
+    ordered = replies.select(key, "turn_id", F.struct("action_lines", "observation_lines").alias("reply"), order.alias("seq"))
+    last = ordered.groupBy(key, "turn_id").agg(F.max_by("reply", "seq").alias("reply")).select(key, "turn_id", "reply.*")
+    j = turns.join(last, [key, "turn_id"], "left")
     prompt = F.coalesce("prompt", F.lit(""))
     first = F.substring_index("raw_text", "\n", 1)
     action = F.coalesce(F.array_join("action_lines", "\n"), strip(first.substr(F.length(prompt) + 1, F.length(first))))

@@ -252,11 +252,12 @@ def session_text(initial: Column | str, turns: Column | str, version: int = 2) -
     """The session put together again: actions with a line end, observations; from version 2 on, a space before an
     action unless the part before it is empty or ends in a space or line end."""
     initial, turns = (F.col(c) if isinstance(c, str) else c for c in (initial, turns))
-    start = F.struct(F.coalesce(initial, F.lit("")).alias("text"), F.coalesce(initial, F.lit("")).alias("part"))
+    first = F.coalesce(initial, F.lit(""))
+    parts = F.transform(turns, lambda t: F.coalesce(t["observation"], F.lit("")))
+    before = F.slice(F.concat(F.array(first), parts), 1, F.size(turns))
 
-    def step(acc, t):
-        action, seen = F.coalesce(t["content"], F.lit("")), F.coalesce(t["observation"], F.lit(""))
-        space = F.when((acc["part"] != "") & ~acc["part"].rlike(r"[ \n]\z"), " ").otherwise("") if version != 1 else F.lit("")
-        return F.struct(F.concat(acc["text"], space, action, F.lit("\n"), seen).alias("text"), seen.alias("part"))
+    def put(t, part):
+        space = F.when((part != "") & ~part.rlike(r"[ \n]\z"), " ").otherwise("") if version != 1 else F.lit("")
+        return F.concat(space, F.coalesce(t["content"], F.lit("")), F.lit("\n"), F.coalesce(t["observation"], F.lit("")))
 
-    return F.aggregate(turns, start, step, lambda acc: acc["text"])
+    return F.concat(first, F.array_join(F.zip_with(turns, before, put), ""))

@@ -20,25 +20,29 @@ def _stream(spark: SparkSession, d: str) -> DataFrame:
     return jobs.with_event_time(source.parquet(f"{d}/events.parquet"))
 
 
-def _place(spark: SparkSession) -> tuple[str, str]:
-    name = "termloom_" + uuid.uuid4().hex
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="termloom-")
-    return name, f"{base.rstrip('/')}/{name}"
+def _written(spark: SparkSession, df: DataFrame, mode: str) -> DataFrame:
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="termloom-")
+    place = f"{base.rstrip('/')}/termloom/stream-{uuid.uuid4().hex}"
+    return jobs.written(df, f"{place}/rows", f"{place}/checkpoint", mode)
 
 
 def stream_sessions(spark, d):
-    found = jobs.collected(jobs.sessions(_stream(spark, d)), *_place(spark), mode="complete")
+    found = _written(spark, jobs.sessions(_stream(spark, d)), "complete")
     return found.select("user_id", F.unix_micros("start").alias("start_us"), "n")
 
 
 def stream_windows(spark, d):
-    found = jobs.collected(jobs.windows(_stream(spark, d), "1 hour", by=("event_type",)), *_place(spark), mode="complete")
+    found = _written(spark, jobs.windows(_stream(spark, d), "1 hour", by=("event_type",)), "complete")
     return found.select(F.unix_micros("start").alias("start_us"), "event_type", "n")
 
 
 def stream_dedupe(spark, d):
     both = jobs.without_repeats(_stream(spark, d).withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))))
-    return jobs.collected(both.select("event_id"), *_place(spark))
+    return _written(spark, both.select("event_id"), "append")
 
 
 SESSIONS = "SELECT user_id, min(epoch_us(ts)) AS start_us, count(*) AS n FROM (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS session FROM (SELECT *, CASE WHEN ts < lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) + INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS fresh FROM events)) GROUP BY user_id, session"

@@ -19,7 +19,9 @@ def session(app: str = "termloom", **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     for k, v in (SETTINGS | conf).items():
         builder = builder.config(k, v)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship(spark)
+    return spark
 
 
 def ship(spark: SparkSession) -> None:

@@ -5,6 +5,7 @@ A recording is one row; its events are an array in file order. Nothing here shuf
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -34,9 +35,9 @@ def read_texts(spark: SparkSession, path: str, glob: str = "*", errors: str = "s
 def read_casts(spark: SparkSession, path: str) -> DataFrame:
     """Version folders v1, v2, v3 if any of them holds recordings, else the folder itself; events included."""
     all_files = read_texts(spark, path, "*.cast")
-    versioned = all_files.where(F.col("path").rlike(r"/v[123]/[^/]*$"))
-    pick = versioned if versioned.limit(1).count() else all_files
-    return with_events(with_version(pick))
+    versioned = F.col("path").rlike(r"/v[123]/[^/]*$")
+    some = all_files.agg(F.coalesce(F.max(versioned), F.lit(False))).scalar()
+    return with_events(with_version(all_files.where(versioned | ~some)))
 
 
 def _first_line(text: Column) -> Column:
@@ -86,14 +87,14 @@ def with_version(files: DataFrame) -> DataFrame:
 
 
 def _running(rows: Column) -> Column:
-    """array of struct(gap, type, data) -> events with t as the sum of gaps so far."""
-    start = F.struct(F.lit(0.0).alias("t"), F.array().cast(EVENTS).alias("events"))
+    """array of struct(gap, type, data) -> events with t as the sum of gaps so far (from the first gap that is no number on: none)."""
 
-    def step(acc, x):
-        t = acc["t"] + x["gap"]
-        return F.struct(t.alias("t"), F.concat(acc["events"], F.array(F.struct(t.alias("t"), x["type"].alias("type"), x["data"].alias("data")))).alias("events"))
+    @F.pandas_udf("array<double>")
+    def sums(gaps: pd.Series) -> pd.Series:
+        return gaps.map(lambda g: np.cumsum(np.asarray(g, float)), na_action="ignore")
 
-    return F.aggregate(rows, start, step, lambda acc: acc["events"])
+    times = sums(F.transform(rows, lambda x: F.coalesce(x["gap"], F.lit(float("nan")))))
+    return F.zip_with(rows, times, lambda x, t: F.struct(F.nanvl(t, F.lit(None)).alias("t"), x["type"].alias("type"), x["data"].alias("data")))
 
 
 def _lines(text: Column) -> Column:
@@ -111,10 +112,10 @@ def events_of(text: Column | str, version: Column | str) -> Column:
     """Events in file order, with absolute times."""
     text, version = (F.col(c) if isinstance(c, str) else c for c in (text, version))
     frames = F.filter(F.from_json(F.get_json_object(text, "$.stdout"), "array<array<string>>"), lambda x: F.size(x) >= 2)
-    one = _running(F.transform(frames, lambda x: F.struct(F.get(x, F.lit(0)).try_cast("double").alias("gap"), F.lit("o").alias("type"), F.get(x, F.lit(1)).alias("data"))))
+    one = F.transform(frames, lambda x: F.struct(F.get(x, F.lit(0)).try_cast("double").alias("gap"), F.lit("o").alias("type"), F.get(x, F.lit(1)).alias("data")))
     two = F.transform(_lines(text), lambda x: _event(x, "t"))
-    three = _running(F.transform(_lines(text), lambda x: _event(x, "gap")))
-    return F.when(version == 1, one).when(version == 2, two).when(version == 3, three)
+    three = F.transform(_lines(text), lambda x: _event(x, "gap"))
+    return F.when(version == 2, two).when(version.isin(1, 3), _running(F.when(version == 1, one).when(version == 3, three)))
 
 
 def header_of(text: Column | str, version: Column | str) -> Column:

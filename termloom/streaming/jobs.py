@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions.responses import Responder, respond
-from ..operators.turns import TypedSession
+from ..operators.turns import Turn, TypedSession
 from ..sources.sinks import append_results
 
 
@@ -40,33 +40,30 @@ def without_repeats(events: DataFrame, key: str = "event_id") -> DataFrame:
 TURN_ROW = "cast_id string, turn_id int, action string, observation string, duration_ms double"
 
 
-def _rows(cast: str, session: TypedSession, first: int, last: int) -> pd.DataFrame:
-    rows = [(cast, k + 1, t["content"], t["observation"], t["duration_ms"]) for k, t in list(enumerate(session.take()))[first:last]]
+def _rows(cast: str, turns: list[Turn], sent: int) -> pd.DataFrame:
+    rows = [(cast, sent + k, t["content"], t["observation"], t["duration_ms"]) for k, t in enumerate((turn.row(0) for turn in turns), 1)]
     return pd.DataFrame(rows, columns=["cast_id", "turn_id", "action", "observation", "duration_ms"]).astype({"turn_id": "int32"})
 
 
 def live_turns(events: DataFrame, idle_ms: int = 600_000, version: int = 2) -> DataFrame:
     """events: cast_id, seq, ts (with a watermark), t, type, data (input-driven recordings, in order across batches).
     A turn is emitted when the next one begins; the last one once the watermark is idle_ms past the recording's
-    last event. State holds a recording's open session."""
+    last event. State holds a recording's open turn and how many came before it, not these."""
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         session, sent = pickle.loads(state.get[0]) if state.exists else (TypedSession(version), 0)
         if state.hasTimedOut:
             state.remove()
-            yield _rows(key[0], session, sent, len(session.turns))
+            yield _rows(key[0], session.turns, sent)
             return
         rows = pd.concat(list(batches)).sort_values("seq")
         for t, kind, data in zip(rows["t"], rows["type"], rows["data"]):
             session.event(float(t), kind, data or "")
-        done = max(len(session.turns) - 1, 0)
-        out = _rows(key[0], session, sent, done)
-        for turn in session.turns[:done]:
-            turn.output.clear()  # what has been sent needs no text any more
-            turn.raw_input = ""
-        state.update((pickle.dumps((session, done)),))
+        done, session.turns = session.turns[:-1], session.turns[-1:]
+        session.before.clear()  # what came before the first turn is in none
+        state.update((pickle.dumps((session, sent + len(done))),))
         state.setTimeoutTimestamp(max(int(rows["ts"].max().timestamp() * 1000), state.getCurrentWatermarkMs()) + idle_ms)
-        yield out
+        yield _rows(key[0], done, sent)
 
     return events.groupBy("cast_id").applyInPandasWithState(step, TURN_ROW, "session binary", "append", GroupStateTimeout.EventTimeTimeout)
 
@@ -85,6 +82,18 @@ def respond_to(prompts: DataFrame, responder: Responder | DataFrame, path: str,
     return prompts.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def written(df: DataFrame, path: str, checkpoint: str, mode: str = "append") -> DataFrame:
+    """Run a streaming query over what its input holds now, into Parquet at path: in complete mode the last result replaces
+    what was there."""
+    writer = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    if mode == "append":
+        query = writer.format("parquet").start(path)
+    else:
+        query = writer.foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(path)).start()
+    query.awaitTermination()
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def collected(df: DataFrame, name: str, checkpoint: str, mode: str = "append") -> DataFrame:
     """Run a streaming query over what its input holds now, into a table in memory: for tests and small results."""
     q = df.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

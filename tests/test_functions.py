@@ -143,6 +143,29 @@ def test_markup(spark):
     assert sorted(names, key=dict(zip(names, one(spark, names, lambda c: F.array_join(tx.natural_key(c), "|")))).get) == ["F1", "f9", "f9a", "f10"]
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.text(st.sampled_from("<>ab"), max_size=24))
+def test_tags_at_any_depth(text):
+    want = text
+    while re.search("<[^<>]*>", want):
+        want = re.sub("<[^<>]*>", "", want)
+    assert tx._without_tags(text) == want
+
+
+def test_deep_tags_and_long_numbers(spark):
+    assert one(spark, ["<" * 9 + "x" + ">" * 9 + "y", None, "a<b", "<" * 6 + ">" * 3], tx.remove_tags) == ["y", None, "a<b", "<<<"]
+    names = ["f" + "9" * 30, "f1" + "0" * 30, "f0" + "8" * 30, "f2"]
+    assert sorted(names, key=dict(zip(names, one(spark, names, lambda c: F.array_join(tx.natural_key(c), "|")))).get) == ["f2", "f0" + "8" * 30, "f" + "9" * 30, "f1" + "0" * 30]
+    texts = ['<a href="1"><a href="2">MARK', "MARK", "none", None]
+    assert [tuple(r) if r else r for r in one(spark, texts, lambda c: tx.find_before(c, "MARK"))] == [("2", 24), ("", -2), ("", -1), ("", None)]
+    assert one(spark, ["0", "86400.5", "x", None], tx.plain_time) == ["1970.01.01", "1970.01.02", None, None]
+
+
+def test_known_commands(spark):
+    texts = ["vim a.txt", "wget u", "yarn add", "yum install", "unzip x", "xargs -n1", "watch ls", "wc -l", "Rscript x", "vimx", "ls2"]
+    assert one(spark, texts, h.is_command) == [True] * 9 + [False] * 2 and len(set(h.COMMANDS)) == len(h.COMMANDS) - 1
+
+
 def test_chunk_ranges(spark):
     df = spark.createDataFrame([(10,), (20,), (25,), (3,)], "n long").select(F.to_json(tx.chunk_ranges(F.col("n"), 10)).alias("r"))
     got = [[tuple(map(int, p)) for p in re.findall(r'"start":(\d+),"end":(\d+)', r.r)] for r in df.collect()]

@@ -1,6 +1,7 @@
 """Turn extraction on recordings written by hand, and the file sources."""
 
 import json
+import time
 
 from pyspark.sql import functions as F
 
@@ -127,6 +128,24 @@ def test_extraction_and_reports(spark, tmp_path):
     assert sorted(r.file_id for r in spark.read.parquet(f"{tmp_path}/r").collect()) == ["k1", "k2"]
 
 
+def test_many_events(spark):
+    """Cost grows with a recording's length: 100,000 events and turns."""
+    text = '{"version":3,"term":{"cols":80,"rows":24}}\n' + '[0.25,"o","x"]\n' * 100_000
+    df = spark.createDataFrame([("a", text)], "stem string, text string").withColumn("path", F.col("stem"))
+    began = time.time()
+    last = casts.with_events(casts.with_version(df)).select(F.size("events").alias("n"), F.try_element_at("events", F.lit(-1))["t"].alias("t")).first()
+    assert tuple(last) == (100_000, 25_000.0) and time.time() - began < 60
+    turns = F.transform(F.sequence(F.lit(1), F.lit(100_000)), lambda i: F.struct(F.lit("ls").alias("content"), F.lit("a ").alias("observation")))
+    assert spark.range(1).select(F.length(t.session_text(F.lit("$"), turns)).alias("n")).first().n == 1 + 1 + 100_000 * 5
+
+
+def test_the_last_reply_counts(spark):
+    turns = spark.createDataFrame([("f", 1, "$", "$ ls\na")], "file_id string, turn_id int, prompt string, raw_text string")
+    replies = spark.createDataFrame([("f", 1, ["x"], ["1"], 1), ("f", 1, ["z"], ["3"], 3), ("f", 1, ["y"], ["2"], 2)], "file_id string, turn_id int, action_lines array<string>, observation_lines array<string>, seq int")
+    assert [(r.action, r.observation) for r in segment.classified(turns, replies).collect()] == [("z", "3")]
+    assert [r.action for r in segment.classified(turns, replies.drop("seq").coalesce(1)).collect()] == ["y"]
+
+
 def test_segments(spark):
     texts = spark.createDataFrame([("f", "intro\n$ ls\na\n# top\nb"), ("g", "nothing")], "file_id string, text string")
     rows = segment.lines(texts)
