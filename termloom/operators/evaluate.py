@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from ..functions.responses import Responder, respond
 from ..functions.similarity import guarded_ratio, sequence_ratio
 from ..functions.text import collapse_blank_lines
 
@@ -53,6 +56,25 @@ def similar_models(models: DataFrame, judged: DataFrame, threshold: float = 0.9,
     return _with_similar(a, threshold, ratio).select("file_id", "similar", "n_models", (F.col("similar") * 2 > F.col("n_models")).alias("majority"))
 
 
+def turn_content(turn: Column | str, first: str, second: str) -> Column:
+    """A turn's content: of the field `first` (input, output), or of `second` (action, observation) where the first isn't there; else ''."""
+    turn = F.col(turn) if isinstance(turn, str) else turn
+    return F.coalesce(F.when(turn[first].isNotNull(), F.coalesce(turn[first]["content"], F.lit(""))), turn[second]["content"], F.lit(""))
+
+
+def fan_out(files: DataFrame, models: list[str], responder: Responder | DataFrame, judge: Responder | DataFrame, prompt: Callable[[Column], Column] = lambda text: text) -> tuple[DataFrame, DataFrame]:
+    """files: file_id, text. Asks each model about each file (keys file_id:model), then a judge once a file (key file_id) with all that came
+    back. Returns (answers: file_id, model, response, error; verdicts: file_id, response, error). A responder sees the key. A file
+    none of whose models answered isn't judged."""
+    each = files.select(F.col("file_id").cast("string").alias("file_id"), prompt(F.col("text")).alias("prompt"), F.explode(F.array(*[F.lit(m) for m in models])).alias("model"))
+    asked = respond(each.select(F.concat_ws(":", "file_id", "model").alias("key"), "prompt"), responder)
+    named = asked.select(F.regexp_extract("key", "(?s)^(.*):[^:]*$", 1).alias("file_id"), F.substring_index("key", ":", -1).alias("model"), "response", "error")
+    said = named.where(F.col("response").isNotNull()).groupBy("file_id").agg(F.array_sort(F.collect_list(F.struct("model", "response"))).alias("said"))
+    listed = F.array_join(F.transform("said", lambda x: F.concat(F.lit("### "), x["model"], F.lit("\n"), x["response"])), "\n\n")
+    verdicts = respond(said.select(F.col("file_id").alias("key"), listed.alias("prompt")), judge)
+    return named, verdicts.select(F.col("key").alias("file_id"), "response", "error")
+
+
 def result_text(initial: Column | str, turns: Column | str) -> Column:
     """A parse as text: parts that aren't empty, line by line. turns: prompt, input, output."""
     initial, turns = (F.col(c) if isinstance(c, str) else c for c in (initial, turns))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 
 def turn_analysis(turns: DataFrame, key: str = "file_id") -> DataFrame:
@@ -50,6 +50,14 @@ def manifest(files: DataFrame) -> DataFrame:
     return files.groupBy("version").agg(F.count("*").alias("n"), F.array_sort(F.collect_set("name")).alias("names"))
 
 
+def missing_paths(records: DataFrame, listing: DataFrame, fields: tuple[str, ...], most: int = 100) -> DataFrame:
+    """field, path: the first `most` paths of each field that aren't there, by name."""
+    stacked = ", ".join(f"'{f}', {f}" for f in fields)
+    named = records.selectExpr(f"stack({len(fields)}, {stacked}) as (field, path)").where("path is not null and path <> ''")
+    gone = named.join(listing.select("path"), "path", "left_anti")
+    return gone.withColumn("place", F.row_number().over(W.partitionBy("field").orderBy("path"))).where(F.col("place") <= most).select("field", "path")
+
+
 def path_existence(records: DataFrame, listing: DataFrame, fields: tuple[str, ...]) -> DataFrame:
     """Per path field: exist, missing, percent. Empty paths don't count. listing: path."""
     stacked = ", ".join(f"'{f}', {f}" for f in fields)

@@ -60,6 +60,20 @@ def turn_quality(turns: Column | str = "turns") -> Column:
     )
 
 
+def with_texts(casts: DataFrame, texts: DataFrame) -> DataFrame:
+    """casts: path. texts: path, text. Adds truth: the text beside the recording (its path with .txt in place of every .cast), else
+    that of its name in the folder txt beside the recording's folder, else null."""
+    beside = F.replace("path", F.lit(".cast"), F.lit(".txt"))
+    name = F.substring_index(beside, "/", -1)
+    above = F.regexp_replace("path", r"/[^/]*/[^/]*$", "")
+    sibling = F.concat(above, F.lit("/txt/"), name)
+    known = texts.groupBy(F.col("path").alias("at")).agg(F.min("text").alias("found"))
+    one = casts.withColumns({"beside": beside, "sibling": sibling})
+    first = one.join(known.select(F.col("at").alias("beside"), F.col("found").alias("own")), "beside", "left")
+    both = first.join(known.select(F.col("at").alias("sibling"), F.col("found").alias("other")), "sibling", "left")
+    return both.withColumn("truth", F.coalesce("own", "other")).drop("beside", "sibling", "own", "other")
+
+
 def report(extracted: DataFrame, texts: DataFrame, key: str = "stem") -> DataFrame:
     """One row per extraction: the screen's match with the text's, commands, quality. extracted: header, events, turns,
     raw_all_output. texts: key, text; a file without a text leaves the text's checks null."""

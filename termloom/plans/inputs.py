@@ -36,22 +36,24 @@ def whole_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.select("file_id", "turn_id", action.alias("action"), plain[1].alias("observation"))
 
 
-def safe_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """whole_turns() with 60 characters of each action, as in SAFE_SQL."""
-    return whole_turns(spark, sf_dir).withColumn("action", F.trim(F.substring("action", 1, len("echo ") + 60)))
-
-
-SAFE_SQL = f"""
+#: The same in SQL.
+WHOLE_SQL = f"""
   SELECT file_id, turn_id,
-    'echo ' || coalesce(nullif(trim(substr(trim(regexp_replace(lower(action), '[^a-z0-9]+', ' ', 'g')), 1, 60)), ''), 'x') AS action,
+    'echo ' || coalesce(nullif(trim(regexp_replace(lower(action), '[^a-z0-9]+', ' ', 'g')), ''), 'x') AS action,
     trim(regexp_replace(lower(observation), '[^a-z0-9]+', ' ', 'g')) AS observation
   FROM ({TURNS_SQL})"""
 
 PROMPT = "u@h:~$ "
 
 
-def synthetic_casts(spark: SparkSession, sf_dir: str, version: int, made=whole_turns) -> DataFrame:
-    """Recordings of whole_turns(), a file's text in each row: prompt, typed command (not in version 1), echo,
+#: Turns that are found in output alone: an action is no command if it looks like output, for its length or its few letters.
+INFERRED_SQL = rf"""
+  SELECT file_id, row_number() OVER (PARTITION BY file_id ORDER BY turn_id) AS turn_id, action, observation FROM ({WHOLE_SQL})
+  WHERE length(action) <= 200 AND NOT (length(action) > 15 AND length(regexp_replace(action, '[^\p{{L}}]', '', 'g')) < 0.15 * length(action))"""
+
+
+def synthetic_casts(spark: SparkSession, sf_dir: str, version: int, made=whole_turns, typed: bool = True) -> DataFrame:
+    """Recordings of whole_turns(), a file's text in each row: prompt, typed command (if typed, and not in version 1), echo,
     observation, prompt. A quarter of a second passes between events."""
     t = made(spark, sf_dir)
 
@@ -60,7 +62,7 @@ def synthetic_casts(spark: SparkSession, sf_dir: str, version: int, made=whole_t
 
     echo = F.concat("action", F.lit("\r\n"))
     shown = F.concat("observation", F.lit("\r\n" + PROMPT))
-    parts = ([("i", F.concat("action", F.lit("\r")))] if version != 1 else []) + [("o", echo), ("o", shown)]
+    parts = ([("i", F.concat("action", F.lit("\r")))] if typed and version != 1 else []) + [("o", echo), ("o", shown)]
     events = F.array(*[F.struct(F.lit(k).alias("k"), d.alias("d")) for k, d in parts])
     many = t.groupBy("file_id").agg(F.array_sort(F.collect_list(F.struct("turn_id", events.alias("e")))).alias("all"))
     flat = F.concat(F.array(F.struct(F.lit("o").alias("k"), F.lit(PROMPT).alias("d"))), F.flatten(F.transform("all", lambda x: x["e"])))

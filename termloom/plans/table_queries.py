@@ -41,25 +41,34 @@ def line_jaccard(spark, d):
     return docs.select("doc_id", F.round(sim.line_jaccard("text", F.concat("text", F.lit("\nmore\nlines"))), 6).alias("jaccard"))
 
 
+def _labelled(spark, d):
+    return _docs(spark, d).join(i.table(spark, d, "labels"), "doc_id")
+
+
 def boxed_result(spark, d):
-    labels = i.table(spark, d, "labels")
-    reply = F.concat(F.lit("so "), F.when(F.col("quality") == 1, r"\boxed{True}").when(F.col("toxic") == 1, "oxed{false}").otherwise("none"))
-    return labels.select("doc_id", tx.boxed(reply).alias("result"))
+    reply = F.concat("text", F.when(F.col("quality") == 1, r" \boxed{True}").when(F.col("toxic") == 1, " oxed{false}").otherwise(" none"), F.lit("."))
+    return _labelled(spark, d).select("doc_id", tx.boxed(reply).alias("result"))
 
 
 def json_fence(spark, d):
-    labels = i.table(spark, d, "labels")
-    body = F.concat(F.lit('{"id": '), F.col("doc_id").cast("string"), F.lit("}"))
+    """A document's text in JSON, in a fence that says so, in one that doesn't, or in none."""
+    body = F.to_json(F.struct("doc_id", F.replace("text", F.lit("`"), F.lit("'")).alias("text")))
     reply = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("Here:\n```json\n"), body, F.lit("\n```\nbye"))).when(F.col("doc_id") % 3 == 1, F.concat(F.lit("```\n"), body, F.lit("\n```"))).otherwise(body)
-    return labels.select("doc_id", F.get_json_object(tx.json_fence(reply), "$.id").cast("long").alias("id"))
+    found = tx.json_fence(reply)
+    return _docs(spark, d).select("doc_id", F.get_json_object(found, "$.doc_id").cast("long").alias("id"), F.get_json_object(found, "$.text").alias("text"))
+
+
+#: Signs that would end a balanced piece early.
+SIGNS = "{}[]"
 
 
 def tolerant_json(spark, d):
     from ..functions.responses import extract_json
 
-    labels = i.table(spark, d, "labels")
-    body = F.concat(F.lit('say {"id": '), F.col("doc_id").cast("string"), F.lit(", } end"))
-    return labels.select("doc_id", extract_json(F.when(F.col("doc_id") % 2 == 0, body).otherwise("nothing here")).alias("json"))
+    body = F.to_json(F.struct("doc_id", F.translate("text", SIGNS, "    ").alias("text")))
+    wrapped = F.concat(F.lit("say "), body.substr(F.lit(1), F.length(body) - 1), F.lit(", } end"))
+    found = extract_json(F.when(F.col("doc_id") % 2 == 0, wrapped).otherwise(F.translate("text", SIGNS, "    ")))
+    return _docs(spark, d).select("doc_id", F.get_json_object(found, "$.doc_id").cast("long").alias("id"), F.get_json_object(found, "$.text").alias("text"))
 
 
 def verdicts(spark, d):
@@ -87,7 +96,9 @@ def token_gate(spark, d):
 
 
 def txt_commands(spark, d):
-    t = _docs(spark, d).select("doc_id", F.concat(F.lit("u@h $ ls -l\nx\n# "), F.substring(F.regexp_replace("text", "[^A-Za-z ]", ""), 1, 30), F.lit("\n$ \n")).alias("t"))
+    """Each line of a document behind a prompt, with lines of output between them."""
+    plain = F.regexp_replace("text", "[^A-Za-z\n ]", "")
+    t = _docs(spark, d).select("doc_id", F.concat(F.lit("u@h $ ls -l\nx\n"), F.concat(F.lit("# "), F.replace(plain, F.lit("\n"), F.lit("\nout\n# "))), F.lit("\n$ \n")).alias("t"))
     return t.select("doc_id", F.array_join(tx.txt_commands("t"), "|").alias("commands"))
 
 
@@ -115,6 +126,33 @@ def path_existence(spark, d):
     return reports.path_existence(records, listing, ("cast_path", "txt_path"))
 
 
+def missing_paths(spark, d):
+    docs = i.table(spark, d, "documents")
+    records = docs.select(F.concat(F.lit("a/"), F.col("doc_id").cast("string")).alias("cast_path"), F.when(F.col("doc_id") % 3 == 0, "").otherwise(F.concat(F.lit("b/"), F.col("doc_id").cast("string"))).alias("txt_path"))
+    listing = docs.where("doc_id % 4 <> 0").select(F.concat(F.lit("a/"), F.col("doc_id").cast("string")).alias("path"))
+    return reports.missing_paths(records, listing, ("cast_path", "txt_path"))
+
+
+def find_links(spark, d):
+    pages = i.table(spark, d, "pages")
+    return pages.select("page_id", tx.find_before(F.coalesce("html", F.lit("")), "</body>").alias("f")).select("page_id", "f.value", "f.place")
+
+
+def all_between(spark, d):
+    pages = i.table(spark, d, "pages")
+    return pages.select("page_id", F.array_join(tx.all_between(F.coalesce("html", F.lit(""))), "|").alias("found"))
+
+
+def file_ids(spark, d):
+    pages = i.table(spark, d, "pages")
+    return pages.select("page_id", tx.file_id(F.concat(F.lit("/x/y/"), F.regexp_replace("url", "[^a-z0-9]+", "-"), F.when(F.col("page_id") % 2 == 0, "_multi.json").otherwise(".json"))).alias("file_id"))
+
+
+def page_dates(spark, d):
+    pages = i.table(spark, d, "pages")
+    return pages.select("page_id", tx.plain_time((F.col("page_id") * 86_400).cast("string")).alias("day"), tx.plain_date(F.lit("2024-01-02T03:04:05Z")).alias("iso"))
+
+
 def retry_list(spark, d):
     pages = i.table(spark, d, "pages")
     v = F.when(F.col("page_id") % 4 == 0, "# comment").when(F.col("page_id") % 4 == 1, F.concat(F.lit('{"url": "'), "url", F.lit('", "error": 1}'))).when(F.col("page_id") % 4 == 2, "{bad").otherwise(F.col("url"))
@@ -202,9 +240,9 @@ def event_sessions(spark, d):
 # ---------------------------------------------------------------- recordings
 
 
-def roundtrip(version: int):
-    def query(spark, d, made=i.safe_turns):
-        found = turns.extract_turns(casts.with_events(casts.with_version(i.synthetic_casts(spark, d, version, made))))
+def roundtrip(version: int, typed: bool = True):
+    def query(spark, d, made=i.whole_turns):
+        found = turns.extract_turns(casts.with_events(casts.with_version(i.synthetic_casts(spark, d, version, made, typed))))
         t = found.select(F.col("stem").cast("long").alias("file_id"), F.explode("turns").alias("x"))
         action, seen = F.col("x.content"), F.col("x.observation")
         # what is left of the echo and the next prompt
@@ -253,6 +291,13 @@ def stream_check(spark, d):
     return m.groupBy("passed").agg(F.count("*").alias("n"))
 
 
+def stream_output(spark, d):
+    """What event streams of version 3 say that the terminal was sent, and when they end."""
+    s = casts.event_stream(casts.with_events(casts.with_version(i.synthetic_casts(spark, d, 3))))
+    said = F.array_join(F.transform(F.filter("stream", lambda e: e["type"] == "output"), lambda e: e["data"]), "")
+    return s.select(F.col("stem").cast("long").alias("file_id"), said.alias("output"), F.try_element_at("stream", F.lit(-1))["t"].alias("ended"))
+
+
 # ---------------------------------------------------------------- several parsers
 
 
@@ -302,6 +347,29 @@ GATE = f"""
   FROM ({JUDGED}) j LEFT JOIN (SELECT file_id, majority FROM mj) mj USING (file_id) LEFT JOIN s USING (file_id)"""
 
 
+#: Signs that no text has: one at the start of each text, by which the ratio's blocks are found however often letters repeat, and others.
+MARK, START, OTHER = "\u00a7\u2021", "\u00b6\u2021", "\u00a4\u2021"
+TAIL = "\u00ac"
+
+
+def evaluation_gate_ratio(spark, d):
+    """All gates with the real ratio and its thresholds: model_b says what model_a says, model_c has nothing in common with them. Every
+    seventeenth file comes again without any results; originals of every third file end in as much again of something else."""
+    t = i.conversation_turns(spark, d)
+    item = F.struct(F.col("turn_id").cast("int").alias("turn_id"), F.lit("$ ").alias("prompt"), F.concat(F.lit(MARK), "action").alias("input"), F.concat(F.lit(MARK), "observation").alias("output"))
+    base = t.groupBy("file_id").agg(F.array_sort(F.collect_list(item)).alias("turns")).withColumn("initial_output", F.lit(START))
+    other = F.transform("turns", lambda x: F.struct(x["turn_id"].alias("turn_id"), x["prompt"].alias("prompt"), F.lit(OTHER).alias("input"), F.lit(OTHER).alias("output")))
+    cut = F.when(F.col("file_id") % 3 == 0, F.slice(other, 1, F.size("turns") - 1)).otherwise(other)
+    both = F.explode(F.array(*[F.struct(F.lit(m).alias("model"), x.alias("turns")) for m, x in (("model_a", F.col("turns")), ("model_b", F.col("turns")), ("model_c", cut))]))
+    m = base.select("file_id", "initial_output", both.alias("r")).select("file_id", "initial_output", "r.*")
+    judged = _judged(spark, d)
+    again = judged.where("file_id % 17 = 0").select((-1 - F.col("file_id")).alias("file_id"), F.lit(True).alias("success"), F.lit(True).alias("suitable"), "winner")
+    text = evaluate.result_text("initial_output", "turns")
+    tail = F.when(F.col("file_id") % 3 == 1, F.concat(F.lit("\n"), F.repeat(F.lit(TAIL), F.length(text)))).otherwise("")
+    originals = m.where("model = 'model_a' and file_id % 4 <> 0").select("file_id", F.concat(text, tail).alias("text"))
+    return evaluate.gate(judged.unionByName(again), m, originals).select("file_id", F.coalesce("code", F.lit("success")).alias("code"), F.round("final_similarity", 6).alias("final_similarity"))
+
+
 def outcome_counts(spark, d):
     o = evaluate.outcome_counts(evaluation_gate(spark, d).withColumn("code", F.nullif("code", F.lit("success"))))
     return o.withColumn("rate", F.round("rate", 6))
@@ -312,6 +380,25 @@ def fail_reasons(spark, d):
     return evaluate.fail_reasons(r)
 
 
+_GATE_TEXT = f"'{START}' || chr(10) || string_agg('$ {MARK}' || action || chr(10) || '{MARK}' || observation, chr(10) ORDER BY turn_id)"
+_TAIL = f"CASE WHEN file_id % 3 = 1 THEN chr(10) || repeat('{TAIL}', length(text)) ELSE '' END"
+
+
+def _collapsed(text: str) -> str:
+    lines = rf"regexp_replace({text}, '[ \t\r\x0b\f]+(\n|\z)', '\1', 'g')"
+    return STRIP.format(f"regexp_replace({lines}, '\\n{{3,}}', chr(10) || chr(10), 'g')")
+
+
+GATE_RATIO = f"""
+  WITH f AS (SELECT file_id, {_GATE_TEXT} AS text FROM ({T}) GROUP BY file_id),
+  n AS (SELECT file_id, length({_collapsed('text')}) AS a, length({_collapsed(f"text || {_TAIL}")}) AS b FROM f),
+  j AS (SELECT * FROM ({JUDGED}) UNION ALL SELECT -1 - file_id, true, true, winner FROM ({JUDGED}) WHERE file_id % 17 = 0),
+  c AS (SELECT j.file_id, a, b, CASE WHEN NOT success THEN 'file_read_error' WHEN NOT suitable THEN 'judge_rejected' WHEN j.file_id < 0 THEN 'no_results' WHEN winner = 'model_x' THEN 'no_winner'
+      WHEN winner = 'model_c' AND j.file_id % 3 = 0 THEN 'turn_count_minority' WHEN winner = 'model_c' THEN 'similar_models_minority' WHEN j.file_id % 4 = 0 THEN 'no_input_file' END AS early
+    FROM j LEFT JOIN n USING (file_id))
+  SELECT file_id, coalesce(early, CASE WHEN 2.0 * a / (a + b) < 0.85 THEN 'low_final_similarity' ELSE 'success' END) AS code, CASE WHEN early IS NULL THEN round(2.0 * a / (a + b), 6)::DOUBLE END AS final_similarity FROM c"""
+
+
 def judge_routes(spark, d):
     reply = F.when(F.col("doc_id") % 5 == 0, None).otherwise(F.concat(F.lit('{"winner":"model_'), F.when(F.col("quality") == 1, "b").otherwise("z"), F.lit('","suitable_for_training":'), F.when(F.col("toxic") == 1, "false").otherwise("true"), F.lit(',"rejection_type":"'), F.when(F.col("doc_id") % 2 == 0, "toxic").otherwise(""), F.lit('"}')))
     j = i.table(spark, d, "labels").select("doc_id", evaluate.judge_defaults(reply).alias("j")).select("doc_id", "j.*", F.array(F.lit("model_a"), F.lit("model_b")).alias("labels"))
@@ -331,24 +418,30 @@ QUERIES = {
     "cast_streams": cast_streams, "cast_report": cast_report, "cast_verification": cast_verification, "stream_check": stream_check,
     "majority_turn_count": majority_turn_count, "similar_models": similar_models, "evaluation_gate": evaluation_gate,
     "outcome_counts": outcome_counts, "fail_reasons": fail_reasons, "judge_routes": judge_routes,
+    "cast_inferred_v2": roundtrip(2, False), "cast_inferred_v3": roundtrip(3, False), "evaluation_gate_ratio": evaluation_gate_ratio,
+    "stream_output": stream_output, "missing_paths": missing_paths, "find_links": find_links, "all_between": all_between, "file_ids": file_ids, "page_dates": page_dates,
 }
 
 VERDICTS = "SELECT d.doc_id, d.lang, d.source, CASE WHEN quality IS NULL THEN NULL ELSE quality = 1 END AS result FROM documents d LEFT JOIN labels USING (doc_id)"
 COLLAPSED = STRIP.format(f"regexp_replace({RSTRIP.format(MESSY)}, '\\n{{3,}}', chr(10) || chr(10), 'g')")
 US = "(epoch_us(ts) - min(epoch_us(ts)) OVER (PARTITION BY user_id)) / 1e6"
-FILES = f"SELECT file_id, count(*) AS n FROM ({i.SAFE_SQL}) GROUP BY file_id"
+FILES = f"SELECT file_id, count(*) AS n FROM ({i.WHOLE_SQL}) GROUP BY file_id"
 ORACLE_SQL = {
     "normalize_text": f"SELECT doc_id, {STRIP.format(RSTRIP.format(MESSY))} AS screen, {STRIP.format(RSTRIP.format(MESSY))} AS v2, {STRIP.format(MESSY)} AS v1 FROM documents",
     "collapse_blank_lines": f"SELECT doc_id, {COLLAPSED} AS text FROM documents",
     "line_jaccard": "SELECT doc_id, round(len(list_intersect(list_distinct(l), list_distinct(m))) / len(list_distinct(l || m)), 6) AS jaccard FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l, string_split(coalesce(text, '') || chr(10) || 'more' || chr(10) || 'lines', chr(10)) AS m FROM documents)",
-    "boxed_result": "SELECT doc_id, CASE WHEN quality = 1 THEN true WHEN toxic = 1 THEN false END AS result FROM labels",
-    "json_fence": "SELECT doc_id, doc_id AS id FROM labels",
+    "boxed_result": "SELECT doc_id, CASE WHEN quality = 1 THEN true WHEN toxic = 1 THEN false END AS result FROM labels JOIN documents USING (doc_id)",
+    "json_fence": "SELECT doc_id, doc_id AS id, replace(coalesce(text, ''), '`', chr(39)) AS text FROM documents",
+    "tolerant_json": f"SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN doc_id END AS id, CASE WHEN doc_id % 2 = 0 THEN translate(coalesce(text, ''), '{SIGNS}', '    ') END AS text FROM documents",
     "llm_verdict_counts": f"SELECT count(*) AS total, count(*) FILTER (result) AS suitable, count(*) FILTER (NOT result) AS not_suitable, count(*) FILTER (result IS NULL) AS errors FROM ({VERDICTS})",
     "three_valued": f"SELECT lang, count(*) FILTER (result) AS passed, count(*) FILTER (NOT result) AS failed, count(*) FILTER (result IS NULL) AS not_applicable FROM ({VERDICTS}) GROUP BY ROLLUP (lang)",
     "suitable_join": f"SELECT doc_id % 5 = 0 AS missing, count(*) AS n, count(DISTINCT CASE WHEN doc_id % 5 <> 0 THEN source END) AS sources FROM ({VERDICTS}) WHERE result GROUP BY 1",
     "resume_remaining": "SELECT doc_id, source FROM documents ANTI JOIN labels USING (doc_id)",
     "token_gate": r"SELECT n > 300 AS too_large, count(*) AS n, CAST(sum(n) AS BIGINT) AS tokens FROM (SELECT len(list_filter(regexp_split_to_array(coalesce(text, ''), '\s+'), lambda x: x <> '')) AS n FROM documents) GROUP BY 1",
-    "txt_commands": "SELECT doc_id, concat_ws('|', 'ls -l', nullif(trim(substr(regexp_replace(coalesce(text, ''), '[^A-Za-z ]', '', 'g'), 1, 30), ' '), '')) AS commands FROM documents",
+    # white space behind a prompt may hold a line's end: an empty line takes the next one for its command
+    "txt_commands": r"""
+      SELECT doc_id, array_to_string(['ls -l'] || list_filter(list_transform(l, lambda x, k: CASE WHEN trim(x, ' ') <> '' THEN trim(x, ' ') WHEN k < len(l) THEN 'out' ELSE '' END), lambda x: x <> ''), '|') AS commands
+      FROM (SELECT doc_id, string_split(regexp_replace(coalesce(text, ''), '[^A-Za-z\n ]', '', 'g'), chr(10)) AS l FROM documents)""",
     "natural_sort": "SELECT source, 'File' || doc_id || 'x' || n_chars AS name, row_number() OVER (PARTITION BY source ORDER BY doc_id, n_chars) AS place FROM documents",
     "stratified_sample": "SELECT lang AS version, doc_id::VARCHAR AS name FROM documents QUALIFY row_number() OVER (PARTITION BY lang ORDER BY md5('42:' || doc_id), doc_id::VARCHAR) <= 20",
     "chunk_ranges": "SELECT lang, k, k * 10 AS first, least(k * 10 + 10, total) AS stop FROM (SELECT lang, total, unnest(range(0, CASE WHEN total % 10 = 0 AND total <> 10 THEN total // 10 + 1 ELSE (total + 9) // 10 END)) AS k FROM (SELECT lang, count(*) AS total FROM documents GROUP BY lang))",
@@ -360,7 +453,10 @@ ORACLE_SQL = {
     "html_metadata": r"""
       SELECT page_id, regexp_replace(regexp_replace(regexp_extract(h, '(?s)<title>(.*?)<', 1), '\A\s+', ''), '\s+\z', '') AS title, len(l) AS n_links, array_to_string(l, ' ') AS links
       FROM (SELECT page_id, coalesce(html, '') AS h, regexp_extract_all(coalesce(html, ''), 'href="([^"]*)"', 1) AS l FROM pages)""",
-    "strip_tags": "SELECT page_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(coalesce(html, ''), '<[^<>]*>', '', 'g'), '<[^<>]*>', '', 'g'), '<[^<>]*>', '', 'g'), '<[^<>]*>', '', 'g') AS text FROM pages",
+    "strip_tags": """
+      WITH RECURSIVE r AS (SELECT page_id, coalesce(html, '') AS t FROM pages
+        UNION ALL SELECT page_id, regexp_replace(t, '<[^<>]*>', '', 'g') FROM r WHERE regexp_matches(t, '<[^<>]*>'))
+      SELECT page_id, t AS text FROM r WHERE NOT regexp_matches(t, '<[^<>]*>')""",
     "nearest_link": """SELECT page_id, regexp_extract(coalesce(html, ''), '(?s)^.*href="([^"]*)".*?</body>', 1) AS url FROM pages""",
     "upsert_urls": "WITH old AS (SELECT url, page_id FROM pages WHERE page_id % 3 <> 0), batch AS (SELECT url, page_id FROM pages UNION ALL SELECT url, page_id FROM pages WHERE page_id % 9 = 0) FROM old UNION ALL SELECT url, page_id FROM batch ANTI JOIN old USING (url)",
     "fetched_pages": "WITH a AS (SELECT url FROM pages UNION SELECT url || '/missing' FROM pages), h AS (SELECT DISTINCT url, true AS here FROM pages WHERE page_id % 2 = 0 AND html IS NOT NULL) SELECT CAST(CASE WHEN here THEN 200 ELSE 0 END AS INTEGER) AS status, count(*) AS n, count(*) FILTER (here IS NULL) AS errors FROM a LEFT JOIN h USING (url) GROUP BY 1",
@@ -372,7 +468,7 @@ ORACLE_SQL = {
       SELECT user_id, min(epoch_us(ts)) AS start_us, count(*) AS n FROM (
         SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS session FROM (
           SELECT *, CASE WHEN ts < lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) + INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS fresh FROM events)) GROUP BY user_id, session""",
-    "cast_roundtrip_v1": i.SAFE_SQL, "cast_roundtrip_v2": i.SAFE_SQL, "cast_roundtrip_v3": i.SAFE_SQL,
+    "cast_roundtrip_v1": i.INFERRED_SQL, "cast_inferred_v2": i.INFERRED_SQL, "cast_inferred_v3": i.INFERRED_SQL, "cast_roundtrip_v2": i.WHOLE_SQL, "cast_roundtrip_v3": i.WHOLE_SQL,
     "cast_versions": f"""
       SELECT version::INTEGER AS version, error, sum(n)::BIGINT AS n FROM (
         SELECT 1 AS version, NULL AS error, count(*) AS n FROM ({FILES}) UNION ALL SELECT 2, NULL, count(*) + 1 FROM ({FILES}) UNION ALL SELECT 3, NULL, count(*) FROM ({FILES})
@@ -385,6 +481,19 @@ ORACLE_SQL = {
     "majority_turn_count": MAJORITY, "similar_models": LIKENESS, "evaluation_gate": GATE,
     "outcome_counts": f"SELECT code AS outcome, count(*) AS n, round(count(*) / sum(count(*)) OVER (), 6) AS rate FROM ({GATE}) GROUP BY code",
     "fail_reasons": f"SELECT code AS reason, count(*) AS n FROM ({GATE}) WHERE code <> 'success' GROUP BY code",
+    "evaluation_gate_ratio": GATE_RATIO,
+    "stream_output": f"""
+      SELECT file_id, '{i.PROMPT}' || string_agg(action || chr(13) || chr(10) || observation || chr(13) || chr(10) || '{i.PROMPT}', '' ORDER BY turn_id) AS output, (0.25 * (1 + 3 * count(*)))::DOUBLE AS ended
+      FROM ({i.WHOLE_SQL}) GROUP BY file_id""",
+    "missing_paths": """
+      WITH p AS (SELECT 'cast_path' AS field, 'a/' || doc_id AS path, doc_id % 4 <> 0 AS here FROM documents UNION ALL SELECT 'txt_path', 'b/' || doc_id, false FROM documents WHERE doc_id % 3 <> 0)
+      SELECT field, path FROM p WHERE NOT here QUALIFY row_number() OVER (PARTITION BY field ORDER BY path) <= 100""",
+    "find_links": """
+      WITH h AS (SELECT page_id, coalesce(html, '') AS h, instr(coalesce(html, ''), '</body>') AS p FROM pages), k AS (SELECT *, contains(substr(h, 1, greatest(p - 1, 0)), 'href="') AS known FROM h)
+      SELECT page_id, CASE WHEN p > 0 AND known THEN regexp_extract(substr(h, 1, p - 1), '(?s)^.*href="([^"]*)', 1) ELSE '' END AS value, (CASE WHEN p = 0 THEN -1 WHEN NOT known THEN -2 ELSE p - 1 END)::BIGINT AS place FROM k""",
+    "all_between": """SELECT page_id, array_to_string(regexp_extract_all(coalesce(html, ''), '(?s)">(.*?)<', 1), '|') AS found FROM pages""",
+    "file_ids": "SELECT page_id, regexp_replace(url, '[^a-z0-9]+', '-', 'g') AS file_id FROM pages",
+    "page_dates": "SELECT page_id, strftime(DATE '1970-01-01' + page_id::INTEGER, '%Y.%m.%d') AS day, '2024-01-0203:04:05' AS iso FROM pages",
     "judge_routes": """
       SELECT CASE WHEN doc_id % 5 = 0 THEN 'rejected/empty' WHEN toxic = 1 THEN CASE WHEN doc_id % 2 = 0 THEN 'rejected/toxic' ELSE 'rejected/empty' END WHEN quality = 1 THEN 'results' ELSE 'none' END AS route, count(*) AS n FROM labels GROUP BY 1""",
 }

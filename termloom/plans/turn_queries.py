@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import heuristics as h, similarity as sim, text as tx
 from ..functions.terminal import fold_backspaces, screen
-from ..operators import curate, reports, segment, verify
+from ..operators import curate, evaluate, reports, segment, verify
 from . import inputs as i
 
 T = i.TURNS_SQL
@@ -88,11 +88,11 @@ def _text_turns(spark, d, made):
     return many.select("file_id", F.concat(F.lit("start\n"), F.array_join(F.transform("p", lambda x: x["b"]), "\n")).alias("text"))
 
 
-TEXTS = f"SELECT file_id, 'start' || chr(10) || string_agg('{i.PROMPT}' || action || chr(10) || observation, chr(10) ORDER BY turn_id) AS text FROM ({i.SAFE_SQL}) GROUP BY file_id"
+TEXTS = f"SELECT file_id, 'start' || chr(10) || string_agg('{i.PROMPT}' || action || chr(10) || observation, chr(10) ORDER BY turn_id) AS text FROM ({i.WHOLE_SQL}) GROUP BY file_id"
 LINES = f"SELECT file_id, unnest(l) AS line, unnest(range(1, len(l) + 1)) AS line_no FROM (SELECT file_id, string_split(text, chr(10)) AS l FROM ({TEXTS}))"
 
 
-def line_segmentation(spark, d, made=i.safe_turns):
+def line_segmentation(spark, d, made=i.whole_turns):
     rows = segment.lines(_text_turns(spark, d, made))
     patterns = rows.sparkSession.createDataFrame([(-1, ["x"])], "file_id long, patterns array<string>")
     learned = rows.select("file_id").distinct().select("file_id", F.array(F.lit("["), F.lit(r"\w+@\w+:\S*\$ ")).alias("patterns")).unionByName(patterns)
@@ -102,7 +102,7 @@ def line_segmentation(spark, d, made=i.safe_turns):
     return turns.select("file_id", F.col("turn_id").cast("long").alias("turn_id"), F.coalesce("prompt", F.lit("")).alias("prompt"), "raw_text")
 
 
-def prompt_context(spark, d, made=i.safe_turns):
+def prompt_context(spark, d, made=i.whole_turns):
     rows = segment.context(segment.lines(_text_turns(spark, d, made)))
     return rows.where(F.col("line").startswith(i.PROMPT)).select("file_id", F.col("line_no").cast("long").alias("line_no"), "line", "prev_line", "next_line")
 
@@ -112,7 +112,7 @@ def merge_prompts(spark, d):
     return segment.merged_prompts(t).select("file_id", "turn_id", "output")
 
 
-def observation_recovery(spark, d, made=i.safe_turns):
+def observation_recovery(spark, d, made=i.whole_turns):
     t = made(spark, d)
     turns = t.select("file_id", "turn_id", F.lit(i.PROMPT).alias("prompt"), F.concat(F.lit(i.PROMPT), "action", F.lit("\n"), "observation").alias("raw_text"))
     told = t.where("turn_id % 2 = 0").select("file_id", "turn_id", F.array(F.when(F.col("turn_id") % 4 == 0, F.lit("other")).otherwise(F.col("action"))).alias("action_lines"), F.array(F.lit("seen"), F.lit(" "), F.lit("too")).alias("observation_lines"))
@@ -160,20 +160,20 @@ QUICK = f"""
   SELECT file_id, turn_id, round(CASE WHEN length(action) + length(observation) = 0 THEN 1.0 ELSE 2.0 * coalesce(shared, 0) / (length(action) + length(observation)) END, 6)::DOUBLE AS ratio FROM t LEFT JOIN s USING (file_id, turn_id)"""
 
 
-def command_match_ratio(spark, d, made=i.safe_turns):
+def command_match_ratio(spark, d, made=i.whole_turns):
     t = made(spark, d)
     a = t.where("turn_id % 2 = 1").select("file_id", F.col("action").alias("command"))
-    b = t.select("file_id", F.substring("action", 1, 12).alias("command"))
+    b = t.select("file_id", F.concat("action", F.when(F.col("turn_id") % 3 == 0, " again").otherwise("")).alias("command"))
     return verify.command_match_rows(a, b).select("file_id", "total", "matched", F.round("ratio", 6).alias("ratio"))
 
 
 MATCH = f"""
-  WITH t AS ({i.SAFE_SQL}), a AS (SELECT file_id, action AS o FROM t WHERE turn_id % 2 = 1), b AS (SELECT file_id, substr(action, 1, 12) AS c FROM t)
+  WITH t AS ({i.WHOLE_SQL}), a AS (SELECT file_id, action AS o FROM t WHERE turn_id % 2 = 1), b AS (SELECT file_id, action || CASE WHEN turn_id % 3 = 0 THEN ' again' ELSE '' END AS c FROM t)
   SELECT file_id, count(*) AS total, count(*) FILTER (hit) AS matched, round(count(*) FILTER (hit) / count(*), 6) AS ratio
   FROM (SELECT b.file_id, EXISTS (SELECT 1 FROM a WHERE a.file_id = b.file_id AND (contains(b.c, a.o) OR contains(a.o, b.c))) AS hit FROM b) GROUP BY file_id"""
 
 
-def ansi_clean(spark, d, made=i.safe_turns):
+def ansi_clean(spark, d, made=i.whole_turns):
     t = made(spark, d)
     dirty = F.concat(F.lit("\x1b]0;title\x07\x1b[1;32m"), "action", F.lit("\x1b[0m\x1b(B\x1b=\x07\r\n\x1b[?25h\x1b]2;t\x1b\\"), "observation", F.lit("\x1b[K"))
     plain = F.concat(F.lit("\x1b[1m"), "action", F.lit("\x1b[0m\x1b7"))
@@ -199,12 +199,73 @@ def reconstruct(spark, d):
     return many.select("file_id", session_text(F.lit("$"), "turns").alias("text"), session_text(F.lit("$"), "turns", 1).alias("text_v1"))
 
 
-def prompt_json(spark, d, made=i.safe_turns):
+def prompt_json(spark, d, made=i.whole_turns):
     t = made(spark, d)
     many = t.groupBy("file_id").agg(F.array_sort(F.collect_list(F.struct("turn_id", F.lit("command").alias("type"), F.col("action").alias("content"), "observation"))).alias("turns"))
     return many.select("file_id", curate.prompt_turns().alias("session"))
 
 
+NAMED = (("vim", True), ("wget", True), ("yarn", True), ("yum", True), ("unzip", True), ("xargs", True), ("watch", True), ("wc", True), ("/usr/bin/xsel", True), ("./run", True), ("frobnicate", False), ("vimx", False))
+
+
+def known_commands(spark, d):
+    t = i.conversation_turns(spark, d)
+    name = F.element_at(F.array(*[F.lit(n) for n, _ in NAMED]), (F.col("turn_id") % len(NAMED) + 1).cast("int"))
+    return t.select("file_id", "turn_id", h.is_command(F.concat(name, F.lit(" "), "action")).alias("known"))
+
+
+def screen_mode(spark, d):
+    t = i.conversation_turns(spark, d)
+    text = F.concat("action", F.when(F.col("turn_id") % 3 == 0, "\x1b[?1049h").when(F.col("turn_id") % 3 == 1, "\x1b[?47l").otherwise(""), "observation", F.when(F.col("turn_id") % 2 == 0, "\x1b[?1049l").otherwise(""))
+    return t.select("file_id", "turn_id", h.enters_screen(text).alias("enters"), h.leaves_screen(text).alias("leaves"))
+
+
+def screen_lines(spark, d):
+    """Texts of many lines on a screen as wide as they need, with a last line that is partly written over."""
+    t = i.conversation_turns(spark, d)
+    plain = F.rtrim(F.regexp_replace("observation", r"[\x00-\x09\x0b-\x1f\x7f-\x9f]", " "))
+    shown = F.concat(F.replace(plain, F.lit("\n"), F.lit("\r\n")), F.lit("\r\nabcdef\x1b[3DXY\x1b[K"))
+    return t.select("file_id", "turn_id", screen(shown, 1_000_000, 1_000_000).alias("screen"), fold_backspaces(F.concat(F.lit("first\n"), "action", F.lit("four\b\bxy\rz"))).alias("folded"))
+
+
+def turn_durations(spark, d):
+    from ..operators.turns import extract_turns
+    from ..sources import casts
+
+    found = extract_turns(casts.with_events(casts.with_version(i.synthetic_casts(spark, d, 2))))
+    each = found.select(F.col("stem").cast("long").alias("file_id"), F.explode("turns").alias("t"))
+    return each.select("file_id", F.col("t.turn_id").cast("long").alias("turn_id"), F.col("t.duration_ms").alias("duration_ms"), F.round(F.col("t.timestamp"), 2).alias("began"))
+
+
+def batch_summary(spark, d):
+    v = _versions(spark, d).select("version", (F.col("file_id") % 5 != 0).alias("turn_success"), F.when(F.col("file_id") % 4 != 0, F.col("file_id") % 3 == 0).alias("stream_success"), "n_turns", (F.col("n_turns") * 3).alias("n_events"))
+    return reports.batch_summary(v)
+
+
+def run_summary(spark, d):
+    v = _versions(spark, d).select(F.when(F.col("file_id") % 5 == 0, "failed").otherwise("done").alias("status"), (F.col("n_turns") / F.lit(4.0)).alias("seconds"))
+    return reports.run_summary(v)
+
+
+def version_manifest(spark, d):
+    v = _versions(spark, d).select("version", F.concat(F.col("file_id").cast("string"), F.lit(".cast")).alias("name"))
+    return reports.manifest(v).select("version", "n", F.array_join("names", ",").alias("names"))
+
+
+def turn_content(spark, d):
+    t = i.conversation_turns(spark, d)
+    even = F.col("turn_id") % 2 == 0
+    turn = F.struct(F.when(even, F.struct(F.col("action").alias("content"))).alias("input"), F.struct(F.lit("old").alias("content")).alias("action"), F.struct(F.lit("seen").alias("content")).alias("output"), F.struct(F.col("observation").alias("content")).alias("observation"))
+    return t.select("file_id", "turn_id", evaluate.turn_content(turn, "input", "action").alias("typed"), evaluate.turn_content(turn, "output", "observation").alias("shown"))
+
+
+def last_reply(spark, d):
+    t = i.whole_turns(spark, d)
+    turns = t.select("file_id", "turn_id", F.lit(i.PROMPT).alias("prompt"), F.concat(F.lit(i.PROMPT), "action", F.lit("\n"), "observation").alias("raw_text"))
+    replies = t.select("file_id", "turn_id", F.explode(F.array(*[F.struct(F.lit(k).alias("seq"), F.array(F.lit(x)).alias("action_lines"), F.array(F.concat(F.lit(x), "action")).alias("observation_lines")) for k, x in ((2, "b"), (3, "c"), (1, "a"))])).alias("r")).select("file_id", "turn_id", "r.*")
+    return segment.classified(turns, replies).select("file_id", "turn_id", "action", "observation")
+
+
 QUERIES = {
     "turn_pairs": i.conversation_turns,
     "command_confidence": scored,
@@ -230,16 +291,44 @@ QUERIES = {
     "sequence_ratio": sequence_ratio,
     "reconstruct": reconstruct,
     "prompt_json": prompt_json,
+    "known_commands": known_commands,
+    "confidence_v1": lambda s, d: i.conversation_turns(s, d).select("file_id", "turn_id", h.confidence("action", F.lit(i.PROMPT), 1).alias("confidence")),
+    "screen_mode": screen_mode,
+    "screen_lines": screen_lines,
+    "turn_durations": turn_durations,
+    "batch_summary": batch_summary,
+    "run_summary": run_summary,
+    "version_manifest": version_manifest,
+    "action_commands": lambda s, d: i.whole_turns(s, d).select("file_id", "turn_id", tx.action_command(F.concat(F.when(F.col("turn_id") % 2 == 0, "~/a $ x % ").otherwise("me $ a $ "), F.col("action"))).alias("command")),
+    "turn_content": turn_content,
+    "last_reply": last_reply,
 }
 
 SESSION = f"string_agg(CASE WHEN (prev = '$' OR (prev <> '' AND NOT regexp_matches(prev, '[ \\n]\\z'))) THEN ' ' ELSE '' END || action || chr(10) || observation, '' ORDER BY turn_id)"
+NAMED_SQL = " ".join(f"WHEN {k} THEN {str(known).lower()}" for k, (_, known) in enumerate(NAMED))
 ORACLE_SQL = {
+    "known_commands": f"SELECT file_id, turn_id, CASE turn_id % {len(NAMED)} {NAMED_SQL} END AS known FROM ({T})",
+    "confidence_v1": f"""
+      SELECT file_id, turn_id, (CASE WHEN size < 2 THEN greatest(10, s2 - 20) WHEN size > 150 THEN greatest(10, s2 - 15) ELSE s2 END / 100.0)::DOUBLE AS confidence
+      FROM (SELECT *, CASE WHEN {_any('action', h.SUSPICIOUS)} THEN greatest(10, s1 - 20) ELSE s1 END AS s2
+        FROM (SELECT *, length({BARE}) AS size, least(100, CASE WHEN {IS_COMMAND} THEN 80 ELSE 20 END + 15) AS s1 FROM ({T})))""",
+    "screen_mode": f"SELECT file_id, turn_id, turn_id % 3 = 0 AS enters, turn_id % 3 <> 0 AND (turn_id % 3 = 1 OR turn_id % 2 = 0) AS leaves FROM ({T})",
+    "screen_lines": rf"""
+      SELECT file_id, turn_id, regexp_replace(rtrim(regexp_replace(observation, '[\x00-\x09\x0b-\x1f\x7f-\x9f]', ' ', 'g'), ' '), ' +\n', chr(10), 'g') || chr(10) || 'abcXY' AS screen,
+        'first' || chr(10) || regexp_replace(action, '[^\n]*\z', '') || 'z' || substr(regexp_extract(action, '[^\n]*\z') || 'fo', 2) || 'xy' AS folded FROM ({T})""",
+    "turn_durations": f"SELECT file_id, turn_id, 500.0::DOUBLE AS duration_ms, round(0.25 * (3 * turn_id - 1), 2)::DOUBLE AS began FROM ({i.WHOLE_SQL})",
+    "batch_summary": f"SELECT version, count(*) AS files, count(*) FILTER (file_id % 5 <> 0) AS turn_success, count(*) FILTER (file_id % 4 <> 0 AND file_id % 3 = 0) AS stream_success, sum(n_turns)::BIGINT AS turns, sum(3 * n_turns)::BIGINT AS events FROM ({VERSIONS}) GROUP BY ROLLUP (version)",
+    "run_summary": f"SELECT CASE WHEN file_id % 5 = 0 THEN 'failed' ELSE 'done' END AS status, count(*) AS n, round(avg(n_turns / 4), 3) AS avg_seconds FROM ({VERSIONS}) GROUP BY 1",
+    "version_manifest": f"SELECT version, count(*) AS n, string_agg(file_id || '.cast', ',' ORDER BY file_id || '.cast') AS names FROM ({VERSIONS}) GROUP BY version",
+    "action_commands": f"SELECT file_id, turn_id, action AS command FROM ({i.WHOLE_SQL})",
+    "turn_content": f"SELECT file_id, turn_id, CASE WHEN turn_id % 2 = 0 THEN action ELSE 'old' END AS typed, 'seen' AS shown FROM ({T})",
+    "last_reply": f"SELECT file_id, turn_id, 'c' AS action, 'c' || action AS observation FROM ({i.WHOLE_SQL})",
     "turn_pairs": T,
     "command_confidence": f"SELECT file_id, turn_id, valid, confidence::DOUBLE AS confidence FROM ({CONFIDENCE})",
     "likely_output_flags": f"SELECT file_id, turn_id, {IS_OUTPUT} AS is_output FROM ({T})",
     "confidence_filter": f"SELECT valid, count(*) AS n, round(avg(confidence::DOUBLE), 6) AS mean FROM ({CONFIDENCE}) WHERE confidence >= 0.3 GROUP BY valid",
-    "interactive_detect": f"SELECT file_id, turn_id, CASE turn_id % 3 WHEN 0 THEN 'vim' WHEN 1 THEN 'ssh' END AS program FROM ({i.SAFE_SQL})",
-    "heredoc_detect": f"SELECT file_id, turn_id, CASE WHEN turn_id % 2 = 0 THEN 'EOF' END AS delimiter FROM ({i.SAFE_SQL})",
+    "interactive_detect": f"SELECT file_id, turn_id, CASE turn_id % 3 WHEN 0 THEN 'vim' WHEN 1 THEN 'ssh' END AS program FROM ({i.WHOLE_SQL})",
+    "heredoc_detect": f"SELECT file_id, turn_id, CASE WHEN turn_id % 2 = 0 THEN 'EOF' END AS delimiter FROM ({i.WHOLE_SQL})",
     "export_simplify": f"""
       WITH t AS ({T}), n AS (SELECT *, max(turn_id) OVER (PARTITION BY file_id) AS last, bool_or(contains(observation, '^C')) OVER (PARTITION BY file_id) AS stopped FROM t)
       SELECT file_id, count(*) AS n_turns, string_agg(action || ' => ' || observation, chr(10) ORDER BY turn_id) AS record
@@ -261,15 +350,15 @@ ORACLE_SQL = {
     "merge_prompts": f"SELECT file_id, turn_id, coalesce(concat_ws(chr(10), nullif(observation, ''), 'p' || (lead(turn_id) OVER (PARTITION BY file_id ORDER BY turn_id)) || '$ '), '') AS output FROM ({T})",
     "observation_recovery": f"""
       SELECT file_id, turn_id, CASE WHEN turn_id % 4 = 0 THEN 'other' ELSE action END AS action,
-        CASE WHEN turn_id % 4 = 0 THEN 'seen' || chr(10) || 'too' ELSE observation END AS observation, turn_id % 4 <> 0 AS prefix_matched FROM ({i.SAFE_SQL})""",
+        CASE WHEN turn_id % 4 = 0 THEN 'seen' || chr(10) || 'too' ELSE observation END AS observation, turn_id % 4 <> 0 AS prefix_matched FROM ({i.WHOLE_SQL})""",
     "patch_turns": PATCHED,
     "match_ladder": LADDER,
     "char_quick_ratio": QUICK,
     "command_match_ratio": MATCH,
-    "ansi_clean": f"SELECT file_id, turn_id, action || chr(10) || observation AS shown, action AS plain, action AS command FROM ({i.SAFE_SQL})",
+    "ansi_clean": f"SELECT file_id, turn_id, action || chr(10) || observation AS shown, action AS plain, action AS command FROM ({i.WHOLE_SQL})",
     "reconstruct": f"""
       SELECT file_id, '$' || {SESSION} AS text, '$' || string_agg(action || chr(10) || observation, '' ORDER BY turn_id) AS text_v1
       FROM (SELECT *, lag(observation, 1, '$') OVER (PARTITION BY file_id ORDER BY turn_id) AS prev FROM ({T})) GROUP BY file_id""",
     "prompt_json": f"""
-      SELECT file_id, '[' || string_agg('{{"action":{{"type":"command","content":"' || action || '"}},"observation":{{"content":"' || observation || '"}}}}', ',' ORDER BY turn_id) || ']' AS session FROM ({i.SAFE_SQL}) GROUP BY file_id""",
+      SELECT file_id, '[' || string_agg('{{"action":{{"type":"command","content":"' || action || '"}},"observation":{{"content":"' || observation || '"}}}}', ',' ORDER BY turn_id) || ']' AS session FROM ({i.WHOLE_SQL}) GROUP BY file_id""",
 }

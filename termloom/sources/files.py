@@ -31,6 +31,32 @@ def read_config(lines: DataFrame, delimiter: str = "=") -> DataFrame:
     return lines.where(at > 0).select(F.trim(bare.substr(F.lit(1), at - 1)).alias("key"), value.alias("setting"))
 
 
+TURNS = "file_id string, version int, initial_output string, turns array<struct<turn_id:int,timestamp:double,action:struct<type:string,content:string>,observation:struct<content:string>>>"
+
+
+def read_turn_documents(spark: SparkSession, path: str, schema: str = TURNS, glob: str = "*.json") -> DataFrame:
+    """Turn-based or event-stream documents in JSON, one a file or one a line, in whatever folder below path; file_id from the
+    file's name where the document has none."""
+    from ..functions.text import file_id
+
+    files = spark.read.text(path, wholetext=True, pathGlobFilter=glob, recursiveFileLookup=True).select("value", F.col("_metadata.file_path").alias("path"))
+    one = F.from_json("value", schema, {"mode": "PERMISSIVE"})
+    lines = F.filter(F.split("value", "\n"), lambda x: F.trim(x) != "")
+    whole = F.forall(lines, lambda x: F.ltrim(x).startswith("{") & F.rtrim(x).endswith("}") & F.try_parse_json(x).isNotNull())
+    rows = files.select("path", F.explode(F.when(whole, F.transform(lines, lambda x: F.from_json(x, schema))).otherwise(F.array(one))).alias("d")).select("path", "d.*")
+    return rows.withColumn("file_id", F.coalesce("file_id", file_id(F.col("path")))).drop("path")
+
+
+def read_progress(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """What earlier runs wrote, or no rows where there is nothing or it can't be read."""
+    try:
+        found = spark.read.schema(schema).parquet(path)
+        found.limit(1).count()
+        return found
+    except Exception:
+        return spark.createDataFrame([], schema)
+
+
 JUDGED = "success boolean, winner string, winner_model string, judgment struct<reason:string,confidence:double,suitable_for_training:boolean,rejection_type:string,rejection_reason:string>, input_file string, models map<string,string>, all_results map<string,struct<initial_output:string,turns:array<struct<turn_id:int,prompt:string,input:struct<content:string>,output:struct<content:string>>>>>"
 
 
