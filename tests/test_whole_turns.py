@@ -35,7 +35,7 @@ def test_whole_actions(name, spark, sf, duck, tmp_path):
 
 
 def test_version_1_takes_whole_actions(spark, sf):
-    """Version 1 infers commands from output, and takes a line of over 200 characters for output, as the reference does."""
+    """Version 1 infers commands from output, and takes a line of over 200 characters for output."""
     expected = [(r.file_id, r.action) for r in i.whole_turns(spark, sf).orderBy("file_id", "turn_id").collect() if len(r.action) <= 200]
     found = registry.QUERIES["cast_roundtrip_v1"](spark, sf, i.whole_turns).orderBy("file_id", "turn_id").collect()
     assert any(len(a) > 65 for _, a in expected) and [(r.file_id, r.action) for r in found] == expected
