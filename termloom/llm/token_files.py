@@ -23,8 +23,8 @@ from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 from .common import partitions, parts, scratch, table
 from .word_tokens import encoder, ranked
 
-MAGIC = b"TLMIX01\n"
-SLOTS = 10  # bits of a block's table of predictions
+MAGIC = b"TLMIX02\n"
+SLOTS = 8  # bits of a block's table of predictions
 MIX, HIGH, LOW = 10, 11, 10  # bits of the three intervals' totals
 U = np.uint64
 
@@ -39,149 +39,162 @@ def shares(counts: np.ndarray, total: int) -> np.ndarray:
 
 
 #: Share of the interval, of 1024, that a prediction of each confidence gets: what it has to hold from its last hits.
-TRUST2 = np.array([0, 120, 420, 700, 880], np.int32)
-TRUST1 = np.array([0, 40, 200, 450, 700], np.int32)
+TRUST2 = np.array([0, 120, 420, 700, 880], np.int64)
+TRUST1 = np.array([0, 40, 200, 450, 700], np.int64)
+HIT1, HIT2 = 64, 128
+NONE = np.uint32(1 << 19)  # an empty slot: no confidence, and an id that no file holds
+
+
+def intervals() -> tuple[np.ndarray, ...]:
+    """Where an id's interval begins and its width, of 1024, by confidence of order 1 + 8 * confidence of order 2 + HIT1 + HIT2
+    (order 2 goes first); and by both confidences alone the widths of order 2 and of both."""
+    key = np.arange(256)
+    f2 = np.where(key >> 3 & 7 < 5, TRUST2[np.minimum(key >> 3 & 7, 4)], 0)
+    f1 = (1000 - f2) * TRUST1[np.minimum(key & 7, 4)] >> 10
+    begin = np.where(key & HIT2, 0, np.where(key & HIT1, f2, f1 + f2))
+    width = np.where(key & HIT2, f2, np.where(key & HIT1, f1, (1 << MIX) - f1 - f2))
+    return begin.astype(U), width.astype(U), f2.astype(U), (f1 + f2).astype(U)
+
+
+BEGIN, WIDTH, UPTO2, UPTO12 = intervals()
 
 
 class Model:
-    """The state of n blocks. prior: counts of the file's ids, 256 by 256.
+    """The state of n blocks. prior: counts of the file's ids, 256 by 256. seen: positions by blocks, the ids up to the present step.
 
-    A slot of a prediction table holds id * 8 + confidence (1 to 4, 0: nothing yet); a hit raises the confidence, a
+    A slot of a prediction table holds id * 8 + confidence (1 to 4); a hit raises the confidence, a
     miss puts the new id in its place. An order's weight in the mixture is its slot's confidence."""
 
-    def __init__(self, n: int, prior: np.ndarray):
-        self.n, lanes = n, np.arange(n, dtype=np.int32)
-        self.base, self.lane256 = lanes << SLOTS, lanes << 8
-        self.t1, self.t2 = np.zeros(n << SLOTS, np.int32), np.zeros(n << SLOTS, np.int32)
-        self.last, self.mixed = np.zeros(n, np.int32), np.zeros(n, np.int32)
+    def __init__(self, n: int, prior: np.ndarray, seen: np.ndarray):
+        self.n, self.seen, lanes = n, seen, np.arange(n, dtype=np.uint32)
+        self.base, self.lane256 = lanes << np.uint32(SLOTS), np.arange(n) << 8
+        self.t1, self.t2 = np.full(n << SLOTS, NONE), np.full(n << SLOTS, NONE)
+        self.last, self.mixed = np.zeros(n, np.uint32), np.zeros(n, np.uint32)
         upper = prior.sum(axis=1)
         self.counts = np.tile(shares(upper[None, :], 512), (n, 1)).astype(np.int32)
         low = np.where(upper[:, None] > 0, prior, np.eye(1, 256, dtype=prior.dtype))
         low = shares(low, 1 << LOW)
-        self.low_size = low.ravel().astype(U)
-        self.low_cum = (np.cumsum(low, axis=1) - low).ravel().astype(U)
-        self.low_of = np.repeat(np.tile(np.arange(256, dtype=np.int32), 256), low.ravel())
-        self.step = 0
+        self.low = ((np.cumsum(low, axis=1) - low) << 16 | low).ravel().astype(np.uint32)
+        self.low_of = np.repeat(np.tile(np.arange(256, dtype=np.uint32), 256), low.ravel())
+        self.step = self.counted = 0
         self.refresh()
 
     def refresh(self) -> None:
+        """Takes in the upper bytes seen since the last time. high, low: where an interval begins << 16 | its width."""
+        if self.step > self.counted:
+            where = (self.seen[self.counted : self.step] >> 8) + self.lane256
+            self.counts += 8 * np.bincount(where.ravel(), minlength=self.n << 8).reshape(self.n, 256).astype(np.int32)
+            self.counted = self.step
         high = shares(self.counts, 1 << HIGH)
-        self.high_size, self.high_cum = high.ravel().astype(np.uint16), (np.cumsum(high, axis=1) - high).ravel().astype(np.uint16)
+        self.high = ((np.cumsum(high, axis=1) - high) << 16 | high).ravel().astype(np.uint32)
         self.high_of = np.repeat(np.tile(np.arange(256, dtype=np.uint8), self.n), high.ravel())
 
-    def predict(self) -> None:
-        """Sets p1, p2 and the mixture's shares f1, f2 and their sum f12; the rest of 1024 is order 0's."""
-        spread = self.last * np.int32(40503)  # 32 bits, wrapping
-        mask = np.int32((1 << SLOTS) - 1)
-        self.i1 = self.base + (spread >> 4 & mask)
-        self.i2 = self.base + ((spread + self.mixed) >> 5 & mask)
+    def predict(self) -> np.ndarray:
+        """Sets v1, v2; the confidences, order 1's without one where both predict the same id."""
+        spread = self.last * np.uint32(40503)  # 32 bits, wrapping
+        mask = np.uint32((1 << SLOTS) - 1)
+        self.i1 = (self.base + (spread >> np.uint32(4) & mask)).astype(np.intp)
+        self.i2 = (self.base + (spread + self.mixed >> np.uint32(5) & mask)).astype(np.intp)
         self.v1, self.v2 = self.t1.take(self.i1), self.t2.take(self.i2)
-        self.p1, self.p2 = self.v1 >> 3, self.v2 >> 3
-        self.f2 = TRUST2.take(self.v2 & 7)
-        self.f1 = (1000 - self.f2) * TRUST1.take(self.v1 & 7) >> 10
-        self.f1 *= self.p1 != self.p2
-        self.f12 = self.f1 + self.f2
-
-    def update(self, ids: np.ndarray) -> None:
-        """ids: of this step in each block (int32)."""
-        fresh = (ids << 3) + np.int32(1)
-        for t, i, v, p in ((self.t1, self.i1, self.v1, self.p1), (self.t2, self.i2, self.v2, self.p2)):
-            t[i] = np.where((p == ids) & (v > 0), v + ((v & 7) < 4), fresh)
-        self.counts.reshape(-1)[self.lane256 + (ids >> 8)] += 8
-        self.mixed, self.last = self.last * np.int32(30011), ids
+        c1 = (self.v1 & np.uint32(7)) * ((self.v1 ^ self.v2) > 7)
+        return (c1 | (self.v2 & np.uint32(7)) << np.uint32(3)).astype(np.intp)
+
+    def update(self, ids: np.ndarray, d1=None, d2=None) -> None:
+        """ids: of this step in each block (uint32). d1, d2: the slots less an id's first entry (under 4: a hit)."""
+        fresh = (ids << np.uint32(3)) + np.uint32(1)
+        for t, i, v, d in ((self.t1, self.i1, self.v1, d1), (self.t2, self.i2, self.v2, d2)):
+            d = v - fresh if d is None else d
+            t[i] = fresh + np.minimum(d + np.uint32(1), np.uint32(3)) * (d < 4)
+        self.mixed, self.last = self.last * np.uint32(30011), ids
         self.step += 1
         if self.step >= 64 and self.step & (self.step - 1) == 0 or self.step % 1024 == 0:
             self.refresh()
 
 
 def encode_blocks(ids: np.ndarray, prior: np.ndarray) -> list[bytes]:
-    """ids: blocks by positions. The code of each block."""
+    """ids: blocks by positions. The code of each block. An id takes less than 27 bits, so two words of 16 for each do."""
     n, length = ids.shape
-    model, columns = Model(n, prior), np.ascontiguousarray(ids.T.astype(np.int32))
-    low, size, at = np.zeros(n, U), np.full(n, (1 << 48) - 1, U), np.zeros(n, np.int64)
-    out = np.zeros((length + 16, n), np.uint32)
-    most = 0
+    columns = np.ascontiguousarray(ids.T.astype(np.uint32))
+    model, room = Model(n, prior, columns), 2 * length + 16
+    low, size, at = np.zeros(n, U), np.full(n, (1 << 48) - 1, U), np.arange(n) * room
+    out = np.zeros(n * room, np.uint32)
 
     def emit(which) -> None:
-        nonlocal out, most
-        if most + 1 >= len(out):
-            out = np.concatenate([out, np.zeros((len(out) // 2, n), np.uint32)])
         x, k = low[which], at[which]
-        out[k, which] = x >> U(32)  # a carry may make it 17 bits
+        out[k] = x >> U(32)  # a carry may make it 17 bits
         low[which] = (x & U(0xFFFFFFFF)) << U(16)
         at[which] = k + 1
-        most = max(most, int(k.max()) + 1)
 
     for k in range(length):
         x = columns[k]
-        model.predict()
-        hit2 = (model.p2 == x) & (model.f2 > 0)
-        hit1 = (model.p1 == x) & (model.f1 > 0)
+        key, fresh = model.predict(), (x << np.uint32(3)) + np.uint32(1)
+        d1, d2 = model.v1 - fresh, model.v2 - fresh
+        hit1, hit2 = d1 < 4, d2 < 4
+        key += hit1 * HIT1 + hit2 * HIT2
         unit = size >> U(MIX)
-        begin = np.where(hit1, model.f2, model.f12)
-        width = np.where(hit1, model.f1, (1 << MIX) - model.f12)
-        begin[hit2], width[hit2] = 0, model.f2[hit2]
-        low += unit * begin.astype(U)
-        size = unit * width.astype(U)
-        m = np.flatnonzero(~(hit2 | hit1))
+        low += unit * BEGIN.take(key)
+        size = unit * WIDTH.take(key)
+        m = np.flatnonzero(key < HIT1)
         if len(m):
-            xm = x[m]
-            high = (m << 8) + (xm >> 8)
-            unit = size[m] >> U(HIGH)
-            add, s = unit * model.high_cum.take(high), unit * model.high_size.take(high)
-            unit = s >> U(LOW)
-            low[m] += add + unit * model.low_cum.take(xm)
-            size[m] = unit * model.low_size.take(xm)
+            xm = x.take(m)
+            pair = model.high.take((m << 8) + (xm >> np.uint32(8)))
+            unit = size.take(m) >> U(HIGH)
+            add, unit = unit * (pair >> np.uint32(16)), unit * (pair & np.uint32(0xFFFF)) >> U(LOW)
+            pair = model.low.take(xm)
+            low[m] += add + unit * (pair >> np.uint32(16))
+            size[m] = unit * (pair & np.uint32(0xFFFF))
         while len(small := np.flatnonzero(size < U(1 << 32))):
             emit(small)
             size[small] <<= U(16)
-        model.update(x)
-    every = np.arange(n)
+        model.update(x, d1, d2)
     for _ in range(3):
-        emit(every)
-    for k in range(int(at.max()) - 1, 0, -1):
-        out[k - 1] += out[k] >> 16
-        out[k] &= 0xFFFF
-    rows = np.ascontiguousarray(out[: int(at.max())].T.astype("<u2"))
-    return [rows[i, : at[i]].tobytes() for i in range(n)]
+        emit(np.arange(n))
+    used = at - np.arange(n) * room
+    rows = np.ascontiguousarray(out.reshape(n, room)[:, : int(used.max())].T)
+    for k in range(len(rows) - 1, 0, -1):
+        rows[k - 1] += rows[k] >> 16
+        rows[k] &= 0xFFFF
+    rows = np.ascontiguousarray(rows.T.astype("<u2"))
+    return [rows[i, : used[i]].tobytes() for i in range(n)]
 
 
 def decode_blocks(codes: list[bytes], length: int, prior: np.ndarray) -> np.ndarray:
     n = len(codes)
-    model, ids = Model(n, prior), np.empty((length, n), np.int32)
+    ids = np.empty((length, n), np.uint32)
+    model = Model(n, prior, ids)
     sizes = np.array([len(c) // 2 for c in codes])
-    words = np.zeros((int(sizes.max()) + 4, n), np.uint16)
+    room = int(sizes.max()) + 4
+    words = np.zeros((n, room), np.uint16)
     for i, c in enumerate(codes):
-        words[: sizes[i], i] = np.frombuffer(c, "<u2")
-    first = words[:3].astype(U)
-    code, size, at = first[0] << U(32) | first[1] << U(16) | first[2], np.full(n, (1 << 48) - 1, U), np.full(n, 3)
+        words[i, : sizes[i]] = np.frombuffer(c, "<u2")
+    first = words[:, :3].astype(U)
+    code, size, at = first[:, 0] << U(32) | first[:, 1] << U(16) | first[:, 2], np.full(n, (1 << 48) - 1, U), np.arange(n) * room + 3
+    words = words.ravel()
     for k in range(length):
-        model.predict()
+        key = model.predict()
         unit = size >> U(MIX)
-        v = np.minimum(code // unit, U((1 << MIX) - 1)).astype(np.int32)
-        hit2, hit1 = v < model.f2, v < model.f12
-        x = np.where(hit2, model.p2, model.p1)
-        hit1 ^= hit2
-        begin = np.where(hit1, model.f2, model.f12)
-        width = np.where(hit1, model.f1, (1 << MIX) - model.f12)
-        begin[hit2], width[hit2] = 0, model.f2[hit2]
-        code -= unit * begin.astype(U)
-        size = unit * width.astype(U)
-        m = np.flatnonzero(~(hit2 | hit1))
+        hit2, hit12 = code < unit * UPTO2.take(key), code < unit * UPTO12.take(key)
+        x = np.where(hit2, model.v2, model.v1) >> np.uint32(3)
+        key += (hit12 ^ hit2) * HIT1 + hit2 * HIT2
+        code -= unit * BEGIN.take(key)
+        size = unit * WIDTH.take(key)
+        m = np.flatnonzero(~hit12)
         if len(m):
-            c, unit = code[m], size[m] >> U(HIGH)
-            v = np.minimum(c // unit, U((1 << HIGH) - 1)).astype(np.int64)
-            upper = model.high_of.take((m << HIGH) + v).astype(np.int64)
-            high = (m << 8) + upper
-            c -= unit * model.high_cum.take(high)
-            unit = unit * model.high_size.take(high) >> U(LOW)
-            v = np.minimum(c // unit, U((1 << LOW) - 1)).astype(np.int64)
-            xm = (upper << 8) + model.low_of.take((upper << LOW) + v)
-            x[m], code[m], size[m] = xm, c - unit * model.low_cum.take(xm), unit * model.low_size.take(xm)
+            c, unit = code.take(m), size.take(m) >> U(HIGH)
+            v = np.minimum(c // unit, U((1 << HIGH) - 1)).astype(np.intp)
+            upper = model.high_of.take((m << HIGH) + v).astype(np.intp)
+            pair = model.high.take((m << 8) + upper)
+            c -= unit * (pair >> np.uint32(16))
+            unit = unit * (pair & np.uint32(0xFFFF)) >> U(LOW)
+            v = np.minimum(c // unit, U((1 << LOW) - 1)).astype(np.intp)
+            xm = model.low_of.take((upper << LOW) + v) + (upper << 8)
+            pair = model.low.take(xm)
+            x[m], code[m], size[m] = xm, c - unit * (pair >> np.uint32(16)), unit * (pair & np.uint32(0xFFFF))
         while len(small := np.flatnonzero(size < U(1 << 32))):
-            code[small] = code[small] << U(16) | words[at[small], small]
+            where = at.take(small)
+            code[small] = code.take(small) << U(16) | words.take(where)
             size[small] <<= U(16)
-            at[small] += 1
+            at[small] = where + 1
         ids[k] = x
         model.update(x)
     return ids.T
@@ -196,7 +209,7 @@ def pack_file(doc_ids: list[int | None], raws: list[bytes], block: int | None =
     total = len(ids)
     if total and int(ids.max()) >= 1 << 16:
         raise ValueError("ids of 65,536 and more don't fit this format")
-    block = block or min(2048, max(256, 1 << max(total // 1024, 1).bit_length()))
+    block = block or min(1024, max(256, 1 << max(total // 1024, 1).bit_length()))
     n = -(-total // block)
     padded = np.zeros(n * block, np.int64)
     padded[:total] = ids
@@ -270,8 +283,8 @@ def write(docs: DataFrame, path: str, vocabulary: str, end_id: int = 2, file_tok
             return row
 
         for batch in batches:
-            for rows in parts(batch, 1, 500):
-                for doc_id, raw in zip(rows.column(0).to_pylist(), ids_of.encode(rows.column(1).to_pylist())):
+            for rows in parts(batch, 1, 4000):
+                for doc_id, raw in zip(rows.column(0).to_pylist(), ids_of.encode(rows.column(1))):
                     if held and held + len(raw) // 4 + 1 > file_tokens:
                         yield flush()
                     doc_ids.append(doc_id), raws.append(raw + end)

@@ -13,6 +13,10 @@ import os
 import re
 from array import array
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
 #: Runs of white space that a backtracking pattern may give up on.
 LONG_RUN = re.compile(r"\s{5000}")
 #: White space as the pre-tokeniser's pattern has it.
@@ -20,6 +24,8 @@ SPACE = "".join(map(chr, (*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000
 #: A run of white space and what follows it. A pre-token ends wherever a character that is no white space stands before
 #: one that is, and what lies between two such places is pre-tokenised as in the whole text.
 PIECES = re.compile(f"[{SPACE}]*[^{SPACE}]+")
+#: A blank that doesn't begin its run of white space (no pre-token need end before it), or a longer run.
+UNEVEN = f"[{SPACE}] |[{SPACE}]{{3}}"
 
 
 def pieces(text: str) -> list[str]:
@@ -83,7 +89,9 @@ def _ranks(path: str):
     tokenizer, table = _library(path), byte_of()
     special = {t.content for t in tokenizer.get_added_tokens_decoder().values()}
     ranks = {bytes(map(table.__getitem__, t)): i for t, i in tokenizer.get_vocab().items() if t not in special}
-    return tiktoken.Encoding("same", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_ordinary
+    sizes = np.zeros(max(ranks.values()) + 1, np.int64)
+    sizes[list(ranks.values())] = list(map(len, ranks))
+    return tiktoken.Encoding("same", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_ordinary, sizes
 
 
 class Kept(dict):
@@ -101,14 +109,54 @@ class Kept(dict):
         return found
 
 
+class Numbered:
+    """Pieces behind a blank, numbered in the order of their first occurrence, and their ids in one array. Beyond `limit`
+    pieces or `most` bytes all are forgotten before the next texts."""
+
+    def __init__(self, ids, piece, byte_sizes: np.ndarray, limit: int, most: int = 32_000_000):
+        self.ids, self.piece, self.byte_sizes, self.limit, self.most = ids, piece, byte_sizes, limit, most
+        self.forget()
+
+    def forget(self) -> None:
+        self.keys, self.size, self.pool = pa.array([], pa.string()), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+
+    def numbers(self, found: pa.Array) -> np.ndarray:
+        if len(self.keys) > self.limit or self.keys.nbytes > self.most:
+            self.forget()
+        which = pc.index_in(found, value_set=self.keys)
+        if which.null_count:
+            missing = pc.unique(found.filter(pc.is_null(which)))
+            open_end = pc.match_substring_regex(missing, f"(^|[{SPACE}])\\z")
+            for some, by_one in ((missing.filter(pc.invert(open_end)), False), (missing.filter(open_end), True)):
+                if len(some):
+                    self._learn(some, by_one)
+            which = pc.index_in(found, value_set=self.keys)
+        return which.to_numpy(zero_copy_only=False).astype(np.int64)
+
+    def _learn(self, some: pa.Array, by_one: bool) -> None:
+        """Encodes pieces; those that end in no white space as one text, whose ids are cut where the pieces end."""
+        if by_one:
+            parts = [np.frombuffer(self.piece(" " + x), "<u4") for x in some.to_pylist()]
+            new, size = np.concatenate(parts), np.fromiter(map(len, parts), np.int64, len(parts))
+        else:
+            text = " " + pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(some)], pa.int32()), some), " ")[0].as_py()
+            new = np.array(self.ids(text), np.uint32)
+            ends = np.cumsum(pc.binary_length(some).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
+            upto = np.searchsorted(np.cumsum(self.byte_sizes[new]), ends) + 1
+            size = np.diff(upto, prepend=0)
+        self.keys = pa.concat_arrays([self.keys, some])
+        self.size, self.pool = np.concatenate([self.size, size]), np.concatenate([self.pool, new])
+
+
 class IdEncoder:
     """texts -> bytes of little-endian unsigned 32-bit ids. A null text counts as empty; strings of special
     tokens in a text are ordinary text. by_ranks: what ranked() says of the file. Ids of short pieces are kept."""
 
-    def __init__(self, path: str, by_ranks: bool, limit: int = 300_000, longest: int = 32):
+    def __init__(self, path: str, by_ranks: bool, limit: int = 500_000, longest: int = 32):
         self.path, self.by_ranks = path, by_ranks
-        self.ids = _ranks(path) if by_ranks else self._by_library
+        self.ids, sizes = _ranks(path) if by_ranks else (self._by_library, None)
         self.get = Kept(self._piece, limit, longest).__getitem__
+        self.numbered = Numbered(self.ids, self._piece, sizes, limit)
 
     @functools.cached_property
     def library(self):
@@ -129,8 +177,32 @@ class IdEncoder:
             return array("I", self._by_library(text)).tobytes()
         return b"".join(map(self.get, pieces(text)))
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        return list(map(self.one, texts))
+    def encode(self, texts: pa.Array | list[str | None]) -> list[bytes]:
+        """All texts at once: cut before blanks, new pieces encoded together, ids gathered by the pieces' numbers.
+        Texts with an uneven run of white space are encoded one by one."""
+        if not isinstance(texts, pa.Array):
+            texts = pa.array(texts, pa.string())
+        if not self.by_ranks or not len(texts):
+            return list(map(self.one, texts.to_pylist()))
+        texts = pc.fill_null(texts.cast(pa.string()), "")
+        alone = pc.match_substring_regex(texts, UNEVEN)
+        cut = pc.split_pattern(pc.if_else(alone, "", texts), " ")
+        ends = np.cumsum(pc.list_value_length(cut).to_numpy(zero_copy_only=False), dtype=np.int64)
+        first, found = np.concatenate([[0], ends[:-1]]), cut.flatten()
+        heads = [self.get(x) if x else b"" for x in found.take(pa.array(first)).to_pylist()]
+        which = self.numbered.numbers(found)
+        behind = self.numbered
+        size = np.concatenate([behind.size, np.fromiter(map(len, heads), np.int64, len(heads)) // 4])
+        start, pool = np.cumsum(size) - size, np.concatenate([behind.pool, np.frombuffer(b"".join(heads), "<u4")])
+        which[first] = np.arange(len(behind.size), len(size))
+        sizes = size[which]
+        upto = np.cumsum(sizes)
+        every = pool[np.repeat(start[which] - upto + sizes, sizes) + np.arange(upto[-1])].tobytes()
+        at = [0, *(4 * upto[ends - 1]).tolist()]
+        out = [every[a:b] for a, b in zip(at, at[1:])]
+        for k in np.flatnonzero(alone.to_numpy(zero_copy_only=False)).tolist():
+            out[k] = self.one(texts[k].as_py())
+        return out
 
 
 @functools.lru_cache(2)

@@ -32,6 +32,14 @@ def test_id_encoder_equals_the_library(texts):
     assert [np.frombuffer(x, "<u4").tolist() for x in e.encode(texts)] == [t.encode(x, add_special_tokens=False).ids for x in texts]
 
 
+def test_id_encoder_forgets_and_learns_again(plain):
+    e = IdEncoder(P.path("byte_bpe_50k.json"), True, limit=5)
+    texts = [None, "", " ", "a", "one two one", "two one two ", " led by a blank", "end\n", "three four five\tsix seven", "two  blanks", "x" * 5000 + " y", "\n" * 6000 + "z"]
+    for _ in range(3):
+        for batch in (texts, texts[::-1], ["one other"], []):
+            assert [np.frombuffer(x, "<u4").tolist() for x in e.encode(batch)] == [plain(t) for t in batch]
+
+
 def test_packing(spark, plain):
     docs = spark.createDataFrame(ROWS, SCHEMA).selectExpr("*", "1 as length", "'x' as bin")
     for capacity in (8, 1024):
