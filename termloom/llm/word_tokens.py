@@ -152,7 +152,7 @@ class IdEncoder:
     """texts -> bytes of little-endian unsigned 32-bit ids. A null text counts as empty; strings of special
     tokens in a text are ordinary text. by_ranks: what ranked() says of the file. Ids of short pieces are kept."""
 
-    def __init__(self, path: str, by_ranks: bool, limit: int = 500_000, longest: int = 32):
+    def __init__(self, path: str, by_ranks: bool, limit: int = 300_000, longest: int = 32):
         self.path, self.by_ranks = path, by_ranks
         self.ids, sizes = _ranks(path) if by_ranks else (self._by_library, None)
         self.get = Kept(self._piece, limit, longest).__getitem__
@@ -195,11 +195,15 @@ class IdEncoder:
         size = np.concatenate([behind.size, np.fromiter(map(len, heads), np.int64, len(heads)) // 4])
         start, pool = np.cumsum(size) - size, np.concatenate([behind.pool, np.frombuffer(b"".join(heads), "<u4")])
         which[first] = np.arange(len(behind.size), len(size))
-        sizes = size[which]
+        sizes = size.take(which)
         upto = np.cumsum(sizes)
-        every = pool[np.repeat(start[which] - upto + sizes, sizes) + np.arange(upto[-1])].tobytes()
+        shift = start.take(which)
+        shift -= upto - sizes
+        where = np.repeat(shift, sizes)
+        where += np.arange(len(where))
+        every = memoryview(pool.take(where)).cast("B")
         at = [0, *(4 * upto[ends - 1]).tolist()]
-        out = [every[a:b] for a, b in zip(at, at[1:])]
+        out = [every[a:b].tobytes() for a, b in zip(at, at[1:])]
         for k in np.flatnonzero(alone.to_numpy(zero_copy_only=False)).tolist():
             out[k] = self.one(texts[k].as_py())
         return out
