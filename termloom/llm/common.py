@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import functools
 import tempfile
 import uuid
@@ -59,14 +60,28 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def parts(batch: pa.RecordBatch, column: int, rows: int, size: int = 8_000_000) -> Iterator[pa.RecordBatch]:
-    """Slices of at most `rows` rows whose texts hold at most `size` bytes (or one row)."""
+@functools.lru_cache(None)
+def _trim():
+    return getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def give_back() -> None:
+    """Free memory that the allocators hold goes back to the system: workers live on through later stages."""
+    pa.default_memory_pool().release_unused()
+    if trim := _trim():
+        trim(0)
+
+
+def parts(batch: pa.RecordBatch, column: int, rows: int, size: int = 2_000_000, tidy: bool = True) -> Iterator[pa.RecordBatch]:
+    """Slices of at most `rows` rows whose texts hold at most `size` bytes (or one row). tidy: give_back() after the last."""
     ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
     at, before = 0, 0
     while at < batch.num_rows:
         upto = min(at + rows, max(at + 1, int(np.searchsorted(ends, before + size, side="right"))), batch.num_rows)
         yield batch.slice(at, upto - at)
         at, before = upto, int(ends[upto - 1])
+    if tidy:
+        give_back()
 
 
 def in_split(doc_id, modulus: int, held: int):

@@ -35,7 +35,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = 1024, end_id: int = 0, wi
         ids_of = encoder(path, by_ranks)
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            for part in parts(batch, 1, 4000, 4_000_000):
+            for part in parts(batch, 1, 4000, 3_000_000):
                 which, start, size, crc, total, ids = [], [], [], [], [], []
                 for k, raw in enumerate(ids_of.encode(part.column(1))):
                     raw += end

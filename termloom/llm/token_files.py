@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
-from .common import partitions, parts, scratch, table
+from .common import give_back, partitions, parts, scratch, table
 from .word_tokens import encoder, ranked
 
 MAGIC = b"TLMIX02\n"
@@ -283,7 +283,7 @@ def write(docs: DataFrame, path: str, vocabulary: str, end_id: int = 2, file_tok
             return row
 
         for batch in batches:
-            for rows in parts(batch, 1, 4000):
+            for rows in parts(batch, 1, 4000, 8_000_000, tidy=False):
                 for doc_id, raw in zip(rows.column(0).to_pylist(), ids_of.encode(rows.column(1))):
                     if held and held + len(raw) // 4 + 1 > file_tokens:
                         yield flush()
@@ -291,6 +291,7 @@ def write(docs: DataFrame, path: str, vocabulary: str, end_id: int = 2, file_tok
                     held += len(raw) // 4 + 1
         if raws:
             yield flush()
+        give_back()
 
     spark = docs.sparkSession
     ordered = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).repartitionByRange(partitions(spark), "doc_id")
